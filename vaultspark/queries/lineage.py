@@ -80,14 +80,14 @@ def burst_sessions(spark, sf):
     return timestamps_as_text(out.withColumn("values", joined("values")))
 
 
-@query("burst_requests", _bursts_sql("1", "", 240))
+@query("burst_requests", _bursts_sql("'all'", "", 240))
 def burst_requests(spark, sf):
     """All events as one queue of requests, four quiet minutes apart."""
     out = LN.coalesce_bursts(lake(spark, sf, "events"), "ts", "event_type", 240, slice_seconds=21_600)
     return timestamps_as_text(out.withColumn("values", joined("values")))
 
 
-_CHUNKS_SQL = f"""with b as ({_bursts_sql("1", "", 240)}),
+_CHUNKS_SQL = f"""with b as ({_bursts_sql("'all'", "", 240)}),
 split as (select *, string_split("values", ',') as v from b)
 select burst_start, burst_end, n_requests, r as run, array_to_string(v[r * 2 + 1 : r * 2 + 2], ',') as "values"
 from split, lateral (select unnest(generate_series(0, (len(v) - 1) // 2)) as r)"""

@@ -136,10 +136,10 @@ wished as (
   on w.table_name = c.table_name and w.name = c.column_name group by 1),
 suffixed as (
   select table_name, arg_min(column_name, ordinal) as k from catalog where ends_with(column_name, 'id') group by 1),
-leading as (select table_name, arg_min(column_name, ordinal) as k from catalog group by 1),
+foremost as (select table_name, arg_min(column_name, ordinal) as k from catalog group by 1),
 inferred as (
   select l.table_name, coalesce(w.k, s.k, l.k) as business_keys
-  from leading l left join wished w using (table_name) left join suffixed s using (table_name))"""
+  from foremost l left join wished w using (table_name) left join suffixed s using (table_name))"""
 
 
 @query(
