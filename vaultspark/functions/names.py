@@ -65,8 +65,9 @@ def is_key_candidate(c: Column) -> Column:
 def sanitize_name(c: Column) -> Column:
     """Drop the qualifier before the first dot and outer quotes; ``.``/``-`` to ``_``."""
     raw = F.trim(c)
-    unqualified = F.regexp_replace(raw, r"^[^.]*\.", "")
-    return F.coalesce(F.translate(F.regexp_replace(unqualified, '^"+|"+$', ""), ".-", "__"), F.lit(""))
+    # Without a dot its position is 0, and the text is kept from the start.
+    unqualified = F.substr(raw, F.instr(raw, ".") + 1)
+    return F.coalesce(F.translate(F.trim(unqualified, F.lit('"')), ".-", "__"), F.lit(""))
 
 
 def physical_name(c: Column, lake_type: str = "parquet") -> Column:

@@ -26,13 +26,18 @@ def parse_envelopes(messages: DataFrame) -> DataFrame:
     A malformed message parses to NULL fields and so goes the same way. The
     change time is read under any of its three spellings.
     """
-    m = messages.select(F.from_json("value", _MESSAGE).alias("m"))
-    return m.select(
-        F.col("m.table").alias("table"),
-        F.col("m.payload").alias("payload"),
-        F.col("m.cdc_type").alias("cdc_type"),
-        F.coalesce(*[F.col(f"m.{n}") for n in CHANGE_TIME_FIELDS]).alias("cdc_modified_at"),
-    ).filter(F.col("table").isNotNull())
+    # Unpacking through a generator keeps the filter above the parse; pushed into
+    # the projection, it would parse every message a second time.
+    return (
+        messages.select(F.inline(F.array(F.from_json("value", _MESSAGE))))
+        .filter(F.col("table").isNotNull())
+        .select(
+            "table",
+            "payload",
+            "cdc_type",
+            F.coalesce(*CHANGE_TIME_FIELDS).alias("cdc_modified_at"),
+        )
+    )
 
 
 def normalize_table(envelopes: DataFrame) -> DataFrame:
@@ -65,11 +70,14 @@ def payload_keys(envelopes: DataFrame) -> DataFrame:
         envelopes.select(
             F.lower("table").alias("table"), F.json_object_keys("payload").alias("keys")
         )
-        .filter(F.col("keys").isNotNull())
-        .distinct()
+        .groupBy("table", "keys")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
     )
+    # Tied to the count, the generator's null check stays above the aggregation
+    # instead of listing every payload's keys twice.
+    keys = F.when(F.col("n_rows") > 0, F.col("keys"))
     return (
-        shapes.select("table", F.posexplode("keys").alias("position", "column_name"))
+        shapes.select("table", F.posexplode(keys).alias("position", "column_name"))
         .groupBy("table", F.lower("column_name").alias("column_name"))
         .agg(F.max("position").alias("position"))
         .select("table", "position", "column_name")

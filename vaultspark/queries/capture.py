@@ -49,7 +49,7 @@ def lake_tables(spark, sf):
 
 @query("lake_catalog", f"with {COUNTED} select * from counted")
 def lake_catalog(spark, sf):
-    return L.observed_catalog(L.read_lake_tables(spark, sf))
+    return L.observe_lake(spark, sf)
 
 
 @query(

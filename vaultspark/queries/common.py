@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.names import KEY_TOKENS, TECHNICAL_COLUMNS
 from ..operators import cdc
 from ..operators.modelling import model_lake
-from ..session import ensure_checkpoint_dir
-from ..sources.lake import observed_catalog, read_lake, read_lake_tables
+from ..sources.lake import observe_lake, read_lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,13 +65,8 @@ def lake(spark: SparkSession, sf: str, table: str) -> DataFrame:
 
 
 def catalog(spark: SparkSession, sf: str) -> DataFrame:
-    """Columns that carry values, as a change stream would show them.
-
-    Finding them reads every table once. The result is metadata that the queries
-    use several times over, so it is kept in the shared folder.
-    """
-    ensure_checkpoint_dir(spark)
-    return observed_catalog(read_lake_tables(spark, sf)).filter("n_values > 0").checkpoint()
+    """Columns that carry values, as a change stream would show them."""
+    return observe_lake(spark, sf).filter("n_values > 0")
 
 
 def registry(spark: SparkSession, sf: str) -> DataFrame:

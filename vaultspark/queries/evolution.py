@@ -22,7 +22,7 @@ from .common import sql_hash
 TARGETS = [*TABLES, "ghosts"]
 
 # One text for both engines: only functions that Spark and DuckDB share.
-_K = "cast(regexp_replace(props, '[^0-9]', '{g}') as int)"
+_K = "cast(substr(props, 7, length(props) - 7) as int)"  # from {"k": 42}
 _OPS = f"""select event_id as seq, concat('c', event_id) as correlation_id,
   case when k < 10 then '' else concat('plan-', user_id) end as plan_id,
   case when k >= 98 then '' else concat('i', event_id) end as idempotency_key,
@@ -35,8 +35,8 @@ _OPS = f"""select event_id as seq, concat('c', event_id) as correlation_id,
   case when k % 11 = 0 then 'user_id' end as fk_column,
   case when k = 13 and user_id % 2 = 0 then 'orders' end as table_param
 from (select *, {{k}} as k from events)"""
-_OPS_SPARK = _OPS.replace("{k}", _K.replace(", '{g}'", ", ''")).replace(" from events)", " from {events})")
-_OPS_SQL = _OPS.replace("{k}", _K.replace(", '{g}'", ", '', 'g'"))
+_OPS_SQL = _OPS.replace("{k}", _K)
+_OPS_SPARK = _OPS_SQL.replace(" from events)", " from {events})")
 
 # The first objection to an operation, and the table it means.
 _OPS_CHECKED = f"""ops as ({_OPS_SQL}),
@@ -64,11 +64,8 @@ facts as (
 
 def operations(spark, sf):
     rows = spark.sql(_OPS_SPARK, events=lake(spark, sf, "events"))
-    params = F.map_filter(
-        F.create_map(
-            F.lit("column_name"), "column_name", F.lit("fk_column"), "fk_column", F.lit("table_name"), "table_param"
-        ),
-        lambda _, v: v.isNotNull(),
+    params = F.create_map(
+        F.lit("column_name"), "column_name", F.lit("fk_column"), "fk_column", F.lit("table_name"), "table_param"
     )
     return rows.withColumn("params", params).drop("column_name", "fk_column", "table_param")
 

@@ -6,12 +6,21 @@ A table is either one file ``<root>/<table>.parquet`` or a directory
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
+log = logging.getLogger(__name__)
+
 CATALOG_SCHEMA = "table_name string, ordinal int, column_name string, data_type string"
 OBSERVED_SCHEMA = CATALOG_SCHEMA + ", n_values bigint"
 
@@ -106,6 +115,42 @@ def observed_catalog(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(t, f) for t, f in tables.items()])
 
 
+# Counts of values are in Parquet footers; Spark answers from there when the
+# table comes through its newer file source.
+_FOOTER_COUNTS = {
+    "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def observe_lake(spark: SparkSession, root: str) -> DataFrame:
+    """``observed_catalog`` of a whole lake, computed once and kept.
+
+    The counts come from the file footers, so no data page is read. Files written
+    without statistics cannot answer; then the columns are scanned. The result
+    is metadata, kept in the shared folder because callers use it repeatedly.
+    """
+    ensure_checkpoint_dir(spark)
+    try:
+        with _settings(spark, _FOOTER_COUNTS):
+            return observed_catalog(read_lake_tables(spark, root)).checkpoint()
+    except (PySparkException, Py4JJavaError) as error:
+        log.warning("footers hold no counts, scanning instead: %s", str(error).split("\n")[0])
+        return observed_catalog(read_lake_tables(spark, root)).checkpoint()
+
+
 def bronze_schema(columns: list[str]) -> T.StructType:
     """All-STRING schema: what a bronze table starts with."""
     return T.StructType([T.StructField(c.lower(), T.StringType(), True) for c in columns])
