@@ -6,7 +6,8 @@ a change payload:
 
 * integers, strings, booleans: plain text;
 * doubles and floats: shortest digits that round-trip, positional from 1e-4 up
-  to 1e16, otherwise ``d.ddde+XX``; NaN counts as missing;
+  to 1e16, otherwise ``d.ddde+XX``; NaN counts as missing (above 1e17 an old
+  JVM's last digit may differ from other engines', alike on every load);
 * timestamps: ``YYYY-MM-DD HH:MM:SS`` plus six fraction digits if there are any;
 * nested values: JSON.
 """
@@ -21,21 +22,24 @@ HASH_SEPARATOR = "||"
 
 
 def _wide_double_text(c: Column) -> Column:
-    """Text of the values the JVM prints with an exponent (and of NaN)."""
-    text = c.cast("string")
+    """Text of the values the JVM prints with an exponent."""
     size = F.abs(c)
-    # Re-reading the digits as a decimal spells them out without changing them.
-    positional = F.regexp_replace(
-        text.cast("decimal(38,21)").cast("string"), r"(\.\d+?)0*$", "$1"
+    # Some JVMs print a digit too many, so take the fewest that read back equal.
+    short, medium, full = [F.format_string(f"%.{n}e", c) for n in (14, 15, 16)]
+    digits = (
+        F.when(short.cast("double") == c, short)
+        .when(medium.cast("double") == c, medium)
+        .otherwise(full)
     )
-    small = F.regexp_replace(
-        F.regexp_replace(text, r"(\.0)?E-(\d)$", "e-0$2"), r"(\.0)?E-", "e-"
+    # As a decimal the same digits are spelled out.
+    positional = F.regexp_replace(
+        digits.cast("decimal(38,21)").cast("string"), r"(\.\d+?)0*$", "$1"
     )
-    large = F.regexp_replace(text, r"(\.0)?E", "e+")
+    scientific = F.regexp_replace(digits, r"\.?0*e", "e")
     return (
         F.when((size >= 1e-4) & (size < 1e16), positional)
-        .when(size < 1, small)
-        .when(~F.isnan(c), large)
+        .when(size == float("inf"), c.cast("string"))
+        .otherwise(scientific)
     )
 
 
@@ -47,7 +51,8 @@ def _double_text(c: Column) -> Column:
     size = F.abs(c)
     ordinary = ((size >= 1e-3) & (size < 1e7)) | (c == 0)
     wide = F.transform(F.array(c), _wide_double_text)[0]
-    return F.when(ordinary, c.cast("string")).otherwise(wide)
+    missing = c.isNull() | F.isnan(c)
+    return F.when(ordinary, c.cast("string")).when(~missing, wide)
 
 
 def _timestamp_text(c: Column) -> Column:

@@ -90,8 +90,11 @@ def coalesce_bursts(
     keys = list(keys or [])
     if df.isStreaming:
         session = F.session_window(ts, f"{quiet_seconds} seconds")
+        # Spark's streaming sessions need a key; a single queue gets one that is
+        # the same for all requests.
+        by = keys or [F.isnotnull(F.col(ts)).alias("all")]
         return (
-            df.groupBy(*keys, session.alias("s"))
+            df.groupBy(*by, session.alias("s"))
             .agg(F.count(F.lit(1)).alias("n_requests"), F.collect_set(value).alias("values"))
             .select(
                 *keys,
