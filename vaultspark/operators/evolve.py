@@ -511,12 +511,13 @@ def _first_unmatched_drop(
         states.unionByName(untouched)
         .filter(_same_names("keys", "sat_keys") & _same_names("attrs", "sat_attributes"))
         .select(F.col("table_name").alias("t"), "since", "until")
+        .checkpoint()
     )
     drops = valid.filter(F.col("kind") == DROP_COLUMN).select("table_name", "seq")
     return (
-        drops.join(templates.select("table_name"), "table_name", "left_semi")
+        drops.join(_broadcast_if_small(templates.select("table_name")), "table_name", "left_semi")
         .join(
-            covered,
+            _broadcast_if_small(covered),
             (F.col("table_name") == F.col("t"))
             & (F.col("seq") >= F.col("since"))
             & (F.col("seq") < F.col("until")),
@@ -660,6 +661,14 @@ def _links(firsts: DataFrame, registry: DataFrame, specs: DataFrame) -> DataFram
 
 # --- the batch --------------------------------------------------------------------
 
+# Rows up to which a frame is small enough to send to every executor.
+BROADCAST_ROWS = 100_000
+
+
+def _broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a checkpointed frame after counting it; else leave the join to AQE."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
 
 def _first_requests(valid: DataFrame) -> DataFrame:
     """The operations that can matter: the first and last of each distinct request.
@@ -751,7 +760,7 @@ def apply_batch(
 
     renewed = registry.join(models.select("model_name").distinct(), "model_name", "left_anti")
     return Evolution(
-        results=_results(checked, facts, changed.distinct()),
+        results=_results(checked, facts, changed.distinct().checkpoint()),
         models=models,
         queued=queued.distinct(),
         registry=renewed.select(*REGISTRY_COLUMNS, "plan_id").unionByName(models.drop("created_seq")),
@@ -759,9 +768,16 @@ def apply_batch(
 
 
 def _results(checked: DataFrame, facts: DataFrame, changed: DataFrame) -> DataFrame:
-    """A status for every operation. Both joins have a small right side, so AQE
-    broadcasts it; should it be large, its skew handling splits a hot table."""
-    known = facts.select("table_name", "business_keys", "present", "link_fks", "found")
+    """A status for every operation.
+
+    Both joins have a right side of schema size. It is counted and broadcast, so
+    that the operations are neither shuffled nor gathered by table; should it be
+    too large for that, AQE's skew handling splits a hot table.
+    """
+    known = _broadcast_if_small(
+        facts.select("table_name", "business_keys", "present", "link_fks", "found"), BROADCAST_ROWS // 10
+    )
+    changed = _broadcast_if_small(changed).withColumn("changed", F.lit(True))
     kind = F.col("kind")
     is_valid = F.col("objection").isNull()
     names_key = (
@@ -800,7 +816,7 @@ def _results(checked: DataFrame, facts: DataFrame, changed: DataFrame) -> DataFr
     return (
         checked.withColumnRenamed("error_code", "objection")
         .join(known, "table_name", "left")
-        .join(changed.withColumn("changed", F.lit(True)), "seq", "left")
+        .join(changed, "seq", "left")
         .withColumn("changed", F.coalesce("changed", F.lit(False)))
         .withColumn("code", code)
         .select(

@@ -81,11 +81,12 @@ def coalesce_bursts(
     the last request plus the quiet time, when the burst may run. A stream uses
     Spark's session windows (set a watermark first).
 
-    A batch works in two steps, so that a key with a large share of the rows is
-    not one task: sessions within fixed time slices first, then a merge of the
-    sessions that touch a slice's edge. Only each slice's first and last session
-    can continue in a neighbour, so the second step sees at most two rows per
-    key and slice; all others pass it by.
+    A batch works in three steps, so that a key with a large share of the rows is
+    never one task. Requests within one bin of the quiet time's length always
+    belong together, so map tasks first reduce the rows to one per key and bin.
+    Bins are then chained to sessions within fixed time slices, and last the
+    sessions that touch a slice's edge are merged: only a slice's first and last
+    session can continue in a neighbour, all others pass the last step by.
     """
     keys = list(keys or [])
     if df.isStreaming:
@@ -114,39 +115,38 @@ def coalesce_bursts(
         )
 
     at = F.col(ts)
-    requests = df.filter(at.isNotNull()).select(
-        *keys,
-        at.alias("first_at"),
-        at.alias("last_at"),
-        F.floor(F.unix_seconds(at.cast("timestamp")) / slice_seconds).alias("slice"),
-        F.col(value).alias("value"),
-    )
-    in_slice = [*keys, "slice"]
-    sessions = (
-        islands(requests, in_slice, "first_at", "last_at")
-        .groupBy(*in_slice, "island")
-        .agg(
+    def gather(rows: DataFrame, by: list[str]) -> DataFrame:
+        return rows.groupBy(*by).agg(
             F.min("first_at").alias("first_at"),
             F.max("last_at").alias("last_at"),
+            F.sum("n_requests").alias("n_requests"),
+            F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"),
+        )
+
+    in_slice = [*keys, "slice"]
+    micros = F.unix_micros(at.cast("timestamp"))
+    bin_size = F.lit(quiet_seconds * 1_000_000)
+    slice_size = F.lit(max(slice_seconds // quiet_seconds, 1))
+    bins = (
+        df.filter(at.isNotNull())
+        .select(*keys, at.alias("at"), F.floor(micros / bin_size).alias("bin"), F.col(value).alias("value"))
+        .groupBy(*keys, "bin")
+        .agg(
+            F.min("at").alias("first_at"),
+            F.max("at").alias("last_at"),
             F.count(F.lit(1)).alias("n_requests"),
             F.collect_set("value").alias("values"),
         )
+        .withColumn("slice", F.floor(F.col("bin") / slice_size))
+        .drop("bin")
     )
+    sessions = gather(islands(bins, in_slice, "first_at", "last_at"), [*in_slice, "island"])
     islands_of_slice = Window.partitionBy(*in_slice)
     placed = sessions.withColumn("islands", F.max("island").over(islands_of_slice))
     at_edge = (F.col("island") == 1) | (F.col("island") == F.col("islands"))
     inner = placed.filter(~at_edge).select(*keys, "first_at", "last_at", "n_requests", "values")
-    merged = (
-        islands(placed.filter(at_edge).drop("island"), keys, "first_at", "last_at")
-        .groupBy(*keys, "island")
-        .agg(
-            F.min("first_at").alias("first_at"),
-            F.max("last_at").alias("last_at"),
-            F.sum("n_requests").alias("n_requests"),
-            F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"),
-        )
-        .drop("island")
-    )
+    edges = islands(placed.filter(at_edge).drop("island"), keys, "first_at", "last_at")
+    merged = gather(edges, [*keys, "island"]).drop("island")
     return inner.unionByName(merged).select(
         *keys,
         F.col("first_at").alias("burst_start"),

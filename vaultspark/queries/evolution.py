@@ -336,15 +336,16 @@ def next_version(spark, sf):
     "latest_satellite",
     """with versions as (
   select concat('t_', event_type) as table_name, user_id as v,
-    concat('sat_', event_type, '_v', user_id) as model_name, count(*) as n from events group by 1, 2, 3)
+    concat('sat_', event_type, '_v', user_id) as model_name, count(distinct props) as n from events group by 1, 2, 3)
 select table_name, arg_max(model_name, v) as model_name, arg_max(n, v) as n_attributes from versions group by 1""",
 )
 def latest_satellite(spark, sf):
-    """One satellite version per event type and user, as wide as the user is active."""
+    """One satellite version per event type and user; its attributes are the
+    property values seen, of which there are at most a hundred."""
     rows = (
         lake(spark, sf, "events")
         .groupBy("event_type", "user_id")
-        .agg(F.collect_list(F.col("event_id").cast("string")).alias("attributes"))
+        .agg(F.collect_set("props").alias("attributes"))
         .select(
             F.concat(F.lit("sat_"), "event_type", F.lit("_v"), "user_id").alias("model_name"),
             F.concat(F.lit("t_"), "event_type").alias("table_name"),

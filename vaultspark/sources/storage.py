@@ -144,10 +144,13 @@ def read_vault(spark: SparkSession, path: str, before: str | None = None) -> Dat
 
 
 def append_vault(rows: DataFrame, path: str, load_id: str) -> None:
-    """Add one load's rows; running the same load again replaces its rows."""
+    """Add one load's rows; running the same load again replaces its rows.
+
+    Loads end in an aggregation or join whose partitions AQE has already sized,
+    so the rows are written as they lie.
+    """
     (
         rows.withColumn("load_id", F.lit(_load_value(load_id)))
-        .hint("rebalance")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("load_id")
@@ -165,9 +168,9 @@ def create_if_absent(df: DataFrame, path: str, load_id: str) -> bool:
 
 def write_snapshot(df: DataFrame, path: str, version: int) -> None:
     """A full new state under its own folder; readers switch once it is complete."""
-    df.hint("rebalance").write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).parquet(f"{path}/version={version:012d}")
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+        f"{path}/version={version:012d}"
+    )
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
