@@ -43,7 +43,7 @@ def to_envelopes(df: DataFrame, table: str, ts_col: str) -> DataFrame:
 
 def cdc_full(df: DataFrame, table: str, ts_col: str) -> DataFrame:
     """Envelopes of every row whose change column is set, parseable or not."""
-    return to_envelopes(df.dropna(subset=[ts_col]), table, ts_col)
+    return to_envelopes(df.filter(F.col(f"`{ts_col}`").isNotNull()), table, ts_col)
 
 
 def watermark_of(watermarks: DataFrame, table: str) -> dt.datetime | None:
@@ -59,7 +59,7 @@ def new_rows(df: DataFrame, ts_col: str, mark: dt.datetime | None) -> DataFrame:
     the Parquet or JDBC scan. Unparseable change times never pass a mark.
     """
     if mark is None:
-        return df.dropna(subset=[ts_col])
+        return df.filter(F.col(f"`{ts_col}`").isNotNull())
     data_type = df.schema[ts_col].dataType
     past = F.lit(mark)
     if isinstance(data_type, T.TimestampNTZType):

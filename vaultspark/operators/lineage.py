@@ -124,12 +124,20 @@ def coalesce_bursts(
         )
 
     in_slice = [*keys, "slice"]
-    micros = F.unix_micros(at.cast("timestamp"))
-    bin_size = F.lit(quiet_seconds * 1_000_000)
-    slice_size = F.lit(max(slice_seconds // quiet_seconds, 1))
+    bin_micros = quiet_seconds * 1_000_000
+    slice_micros = bin_micros * max(slice_seconds // quiet_seconds, 1)
+
+    def down_to(micros: Column, size: int) -> Column:
+        return micros - F.pmod(micros, F.lit(size))
+
     bins = (
         df.filter(at.isNotNull())
-        .select(*keys, at.alias("at"), F.floor(micros / bin_size).alias("bin"), F.col(value).alias("value"))
+        .select(
+            *keys,
+            at.alias("at"),
+            down_to(F.unix_micros(at.cast("timestamp")), bin_micros).alias("bin"),
+            F.col(value).alias("value"),
+        )
         .groupBy(*keys, "bin")
         .agg(
             F.min("at").alias("first_at"),
@@ -137,7 +145,7 @@ def coalesce_bursts(
             F.count(F.lit(1)).alias("n_requests"),
             F.collect_set("value").alias("values"),
         )
-        .withColumn("slice", F.floor(F.col("bin") / slice_size))
+        .withColumn("slice", down_to(F.col("bin"), slice_micros))
         .drop("bin")
     )
     sessions = gather(islands(bins, in_slice, "first_at", "last_at"), [*in_slice, "island"])
