@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from ..functions import messages as M
 from ..functions.names import model_version, physical_name, singularize, versioned
-from ..session import ensure_checkpoint_dir
+from ..session import broadcast_if_small, keep
 from .modelling import REGISTRY_COLUMNS, infer_business_keys, split_vault, table_metadata
 
 ADD_COLUMN = "OPERATION_ADD_COLUMN"
@@ -507,17 +507,16 @@ def _first_unmatched_drop(
             "sat_attributes",
         )
     )
-    covered = (
+    covered = keep(
         states.unionByName(untouched)
         .filter(_same_names("keys", "sat_keys") & _same_names("attrs", "sat_attributes"))
         .select(F.col("table_name").alias("t"), "since", "until")
-        .checkpoint()
     )
     drops = valid.filter(F.col("kind") == DROP_COLUMN).select("table_name", "seq")
     return (
-        drops.join(_broadcast_if_small(templates.select("table_name")), "table_name", "left_semi")
+        drops.join(broadcast_if_small(templates.select("table_name")), "table_name", "left_semi")
         .join(
-            _broadcast_if_small(covered),
+            broadcast_if_small(covered),
             (F.col("table_name") == F.col("t"))
             & (F.col("seq") >= F.col("since"))
             & (F.col("seq") < F.col("until")),
@@ -551,9 +550,9 @@ def _satellites(
         .filter(F.col("first_add").isNull() | (F.col("seq") < F.col("first_add")))
         .select("table_name", "seq", F.lit("#hub").alias("plan"))
     )
-    timeline = _timeline(adds, hub_sats, facts).checkpoint()
+    timeline = keep(_timeline(adds, hub_sats, facts))
     if DROP_COLUMN in kinds:
-        dropped = _first_unmatched_drop(valid, timeline, registry, facts).checkpoint()
+        dropped = keep(_first_unmatched_drop(valid, timeline, registry, facts))
         resets = dropped.join(facts.select("table_name", "sat_attributes"), "table_name").select(
             "table_name", F.col("seq").alias("reset_seq"), "sat_attributes"
         )
@@ -573,7 +572,7 @@ def _satellites(
             .drop("reset_seq")
         )
         single = hub_sats.unionByName(dropped.select("table_name", "seq", F.lit("#drop").alias("plan")))
-        timeline = _timeline(adds, single, facts).checkpoint()
+        timeline = keep(_timeline(adds, single, facts))
     models = _new_satellites(timeline, facts).unionByName(_extended_satellites(timeline, registry))
     return models, timeline
 
@@ -661,14 +660,6 @@ def _links(firsts: DataFrame, registry: DataFrame, specs: DataFrame) -> DataFram
 
 # --- the batch --------------------------------------------------------------------
 
-# Rows up to which a frame is small enough to send to every executor.
-BROADCAST_ROWS = 100_000
-
-
-def _broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a checkpointed frame after counting it; else leave the join to AQE."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
 
 def _first_requests(valid: DataFrame) -> DataFrame:
     """The operations that can matter: the first and last of each distinct request.
@@ -720,19 +711,18 @@ def apply_batch(
     # Everything below branches off a few small frames of metadata, and branches
     # again. Checkpoints keep the plans short and the operations, the catalog and
     # the registry from being read once per branch.
-    ensure_checkpoint_dir(ops.sparkSession)
-    catalog = catalog.select("table_name", "ordinal", "column_name", "data_type").checkpoint()
-    registry = _with_plan_id(registry).checkpoint()
-    specs = _templates(catalog).checkpoint()
+    catalog = keep(catalog.select("table_name", "ordinal", "column_name", "data_type"))
+    registry = keep(_with_plan_id(registry))
+    specs = keep(_templates(catalog))
 
     checked = validate_ops(ops)
     valid = checked.filter(F.col("error_code").isNull()).select(
         "seq", "plan_id", "kind", "table_name", "column_name", "fk_column"
     )
-    firsts = _first_requests(valid).checkpoint()
-    facts = _table_facts(
-        firsts.select("table_name").distinct(), registry, catalog, specs
-    ).checkpoint()
+    firsts = keep(_first_requests(valid))
+    facts = keep(
+        _table_facts(firsts.select("table_name").distinct(), registry, catalog, specs)
+    )
 
     parts = []
     effects = []
@@ -750,7 +740,7 @@ def apply_batch(
     none = registry.limit(0).withColumn("created_seq", F.lit(0).cast("bigint"))
     models = reduce(DataFrame.unionByName, parts, none)
     changed = reduce(DataFrame.unionByName, effects, none.select(F.col("created_seq").alias("seq")))
-    models = models.select(*REGISTRY_COLUMNS, "plan_id", "created_seq").checkpoint()
+    models = keep(models.select(*REGISTRY_COLUMNS, "plan_id", "created_seq"))
     # An operation had an effect if it added a column or created a model.
     changed = changed.unionByName(models.select(F.col("created_seq").alias("seq")))
 
@@ -760,7 +750,7 @@ def apply_batch(
 
     renewed = registry.join(models.select("model_name").distinct(), "model_name", "left_anti")
     return Evolution(
-        results=_results(checked, facts, changed.distinct().checkpoint()),
+        results=_results(checked, facts, keep(changed.distinct())),
         models=models,
         queued=queued.distinct(),
         registry=renewed.select(*REGISTRY_COLUMNS, "plan_id").unionByName(models.drop("created_seq")),
@@ -774,10 +764,10 @@ def _results(checked: DataFrame, facts: DataFrame, changed: DataFrame) -> DataFr
     that the operations are neither shuffled nor gathered by table; should it be
     too large for that, AQE's skew handling splits a hot table.
     """
-    known = _broadcast_if_small(
-        facts.select("table_name", "business_keys", "present", "link_fks", "found"), BROADCAST_ROWS // 10
+    known = broadcast_if_small(
+        facts.select("table_name", "business_keys", "present", "link_fks", "found")
     )
-    changed = _broadcast_if_small(changed).withColumn("changed", F.lit(True))
+    changed = broadcast_if_small(changed).withColumn("changed", F.lit(True))
     kind = F.col("kind")
     is_valid = F.col("objection").isNull()
     names_key = (

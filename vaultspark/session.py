@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that every run wants. Sizes (shuffle partitions, memory, executors)
 # belong to the deployment; AQE coalesces or splits whatever it is given.
@@ -16,6 +17,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording a Python call site for every column costs more than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -53,6 +56,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+# Rows up to which a frame of metadata may live in one partition or be broadcast.
+SMALL_ROWS = 100_000
+
+
+def keep(df: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """Cut the lineage of a frame that is used several times.
+
+    Meant for metadata. A frame counted to be small comes back as one partition,
+    which spares every later join, window and aggregation its shuffle; a larger
+    one stays distributed.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = df.checkpoint()
+    return kept.coalesce(1) if kept.count() <= small_rows else kept
+
+
+def broadcast_if_small(kept: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """Broadcast a kept frame after counting it; else leave the join to AQE."""
+    return F.broadcast(kept) if kept.count() <= small_rows else kept
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/vaultspark/{label}-{uuid.uuid4().hex}"

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import reduce
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import keep
 
 log = logging.getLogger(__name__)
 
@@ -67,9 +68,11 @@ def read_lake(
 
 def read_lake_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Every table under ``root``, lazily; schemas come from the file footers."""
-    return {
-        table: spark.read.parquet(path) for table, path in sorted(_entries(spark, root).items())
-    }
+    entries = sorted(_entries(spark, root).items())
+    # Each footer is a small job of its own; several run side by side.
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        frames = pool.map(lambda entry: spark.read.parquet(entry[1]), entries)
+        return {table: frame for (table, _), frame in zip(entries, frames, strict=True)}
 
 
 def catalog_of(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
@@ -95,22 +98,19 @@ def observed_catalog(tables: dict[str, DataFrame]) -> DataFrame:
     its columns at once and shuffles one row per task.
     """
 
+    def quoted(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
     def one(table: str, frame: DataFrame) -> DataFrame:
         fields = frame.schema.fields
         counts = frame.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(table).alias("table_name"),
-                    F.lit(i + 1).alias("ordinal"),
-                    F.lit(f.name.lower()).alias("column_name"),
-                    F.lit(f.dataType.simpleString()).alias("data_type"),
-                    F.col(f"c{i}").alias("n_values"),
-                )
-                for i, f in enumerate(fields)
-            ]
+        rows = ", ".join(
+            f"{quoted(table)}, {i + 1}, {quoted(f.name.lower())}, {quoted(f.dataType.simpleString())}, c{i}"
+            for i, f in enumerate(fields)
+        )
+        return counts.selectExpr(
+            f"stack({len(fields)}, {rows}) as (table_name, ordinal, column_name, data_type, n_values)"
         )
-        return counts.select(F.inline(rows))
 
     return reduce(DataFrame.unionByName, [one(t, f) for t, f in tables.items()])
 
@@ -142,13 +142,12 @@ def observe_lake(spark: SparkSession, root: str) -> DataFrame:
     without statistics cannot answer; then the columns are scanned. The result
     is metadata, kept in the shared folder because callers use it repeatedly.
     """
-    ensure_checkpoint_dir(spark)
     try:
         with _settings(spark, _FOOTER_COUNTS):
-            return observed_catalog(read_lake_tables(spark, root)).checkpoint()
+            return keep(observed_catalog(read_lake_tables(spark, root)))
     except (PySparkException, Py4JJavaError) as error:
         log.warning("footers hold no counts, scanning instead: %s", str(error).split("\n")[0])
-        return observed_catalog(read_lake_tables(spark, root)).checkpoint()
+        return keep(observed_catalog(read_lake_tables(spark, root)))
 
 
 def bronze_schema(columns: list[str]) -> T.StructType:
