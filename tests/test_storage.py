@@ -58,6 +58,9 @@ def test_vault_load_twice_is_a_no_op(spark, sf_dir, tmp_path):
     reg = MD.model_lake(lake_catalog(spark, sf_dir))
     names = load_vault(reg, sources, root, "1", DAY)
     assert names == ["hub_customer", "hub_order", "link_customer_c_nation", "link_order_o_cust", "sat_customer", "sat_order"]
+    assert sorted(r.table_name for r in S.list_vault_tables(spark, root).collect()) == names
+    gap = V.vault_gap(reg.select("table_name").distinct(), reg, S.list_vault_tables(spark, root))
+    assert gap.filter("table_name in ('customer', 'orders')").count() == 0
     first = {n: S.read_vault(spark, f"{root}/{n}").count() for n in names}
     expected = {r.model_name: r.n_rows for r in vault_row_counts(reg, sources).collect()}
     assert first == expected

@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from ..functions import messages as M
 from ..functions.names import model_version, physical_name, singularize, versioned
-from ..session import broadcast_if_small, keep
+from ..session import SMALL_ROWS, broadcast_if_small, keep
 from .modelling import REGISTRY_COLUMNS, infer_business_keys, split_vault, table_metadata
 
 ADD_COLUMN = "OPERATION_ADD_COLUMN"
@@ -764,8 +764,9 @@ def _results(checked: DataFrame, facts: DataFrame, changed: DataFrame) -> DataFr
     that the operations are neither shuffled nor gathered by table; should it be
     too large for that, AQE's skew handling splits a hot table.
     """
+    # Rows that carry whole column lists are wide, so fewer of them count as small.
     known = broadcast_if_small(
-        facts.select("table_name", "business_keys", "present", "link_fks", "found")
+        facts.select("table_name", "business_keys", "present", "link_fks", "found"), SMALL_ROWS // 10
     )
     changed = broadcast_if_small(changed).withColumn("changed", F.lit(True))
     kind = F.col("kind")

@@ -67,7 +67,10 @@ def operations(spark, sf):
     params = F.create_map(
         F.lit("column_name"), "column_name", F.lit("fk_column"), "fk_column", F.lit("table_name"), "table_param"
     )
-    return rows.withColumn("params", params).drop("column_name", "fk_column", "table_param")
+    ops = rows.withColumn("params", params).drop("column_name", "fk_column", "table_param")
+    # A stored operations table would have plain columns. The generator gives the
+    # derived one the same: later filters see columns, not the rules behind them.
+    return ops.select(F.inline(F.array(F.struct("*"))))
 
 
 def _half(spark, sf):

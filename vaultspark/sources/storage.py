@@ -143,6 +143,12 @@ def read_vault(spark: SparkSession, path: str, before: str | None = None) -> Dat
     return frame
 
 
+def list_vault_tables(spark: SparkSession, root: str) -> DataFrame:
+    """``(table_name)`` of the vault tables that have been created under ``root``."""
+    names = [(name,) for name in _children(spark, root) if not name.startswith(("_", "."))]
+    return spark.createDataFrame(names, "table_name string")
+
+
 def append_vault(rows: DataFrame, path: str, load_id: str) -> None:
     """Add one load's rows; running the same load again replaces its rows.
 
