@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from ..functions.canonical import hashdiff, timestamps_as_text
 from ..operators import vault as V
 from ..plans.load import vault_row_counts as count_rows
+from ..sources.lake import read_lake_tables
 from .common import (
     T0,
     T0_SQL,
     T1,
     T1_SQL,
-    TABLES,
     columns_of,
     lake,
     query,
@@ -227,8 +227,7 @@ def _row_counts_sql() -> str:
 @query("vault_row_counts", _row_counts_sql())
 def vault_row_counts(spark, sf):
     """Every model of every table: the size of the whole vault after a first load."""
-    sources = {t: lake(spark, sf, t) for t in TABLES}
-    return count_rows(registry(spark, sf), sources)
+    return count_rows(registry(spark, sf), read_lake_tables(spark, sf))
 
 
 @query(
