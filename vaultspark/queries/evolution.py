@@ -10,14 +10,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.canonical import timestamps_as_text
-from ..functions.names import singularize
 from ..operators import evolve as E
 from ..operators import modelling as MD
 from ..plans.load import model_rows
-from .common import TABLES, T0, catalog, joined, lake, query, show_models, sql_singular, with_catalog, with_models
+from .common import (
+    T0,
+    TABLES,
+    catalog,
+    joined,
+    lake,
+    query,
+    sql_hash,
+    sql_singular,
+    with_models,
+)
 from .modelling import _INFER
 from .vault import EVENT, _audit, _shown
-from .common import sql_hash
 
 TARGETS = [*TABLES, "ghosts"]
 
@@ -178,10 +186,11 @@ from made"""
 )
 def evolve_add_column(spark, sf):
     cat, reg = _half(spark, sf)
-    out = E.apply_add_column(operations(spark, sf), reg, cat).models
-    return out.select(*[c for c in show_models(out).columns if c not in ("business_keys", "attributes")],
-                      joined("business_keys").alias("business_keys"), joined("attributes").alias("attributes"),
-                      "plan_id", "created_seq")
+    models = E.apply_add_column(operations(spark, sf), reg, cat).models
+    return models.select(
+        "model_name", "table_name", "model_type", joined("business_keys").alias("business_keys"),
+        joined("attributes").alias("attributes"), "plan_id", "created_seq",
+    )
 
 
 @query(
@@ -197,7 +206,10 @@ from asked join facts using (table_name), (values ('hub_', 'hub'), ('sat_', 'sat
 def evolve_new_hub(spark, sf):
     cat, reg = _half(spark, sf)
     models = E.apply_new_hub(operations(spark, sf), reg, cat).models
-    return show_models(models.drop("plan_id")).join(models.select("model_name", "created_seq"), "model_name")
+    return models.select(
+        "model_name", "table_name", "model_type", joined("business_keys").alias("business_keys"),
+        joined("attributes").alias("attributes"), "created_seq",
+    )
 
 
 @query(

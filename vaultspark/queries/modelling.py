@@ -13,10 +13,8 @@ from .common import (
     query,
     registry,
     show_models,
-    sql_is_key,
     sql_singular,
     sql_strip_suffix,
-    with_catalog,
     with_models,
 )
 
