@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+import vaultspark.queries as library
 from tools.check_oracles import rows_of
 from vaultspark.queries.common import TABLES
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = {name: fn for name, fn in entry_point.queries().items() if name in library.QUERIES}
+ORACLES = library.ORACLES
 
 
 @pytest.fixture(scope="module")
