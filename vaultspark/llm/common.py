@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +18,25 @@ ORACLES: dict[str, str] = {}
 BATCH_ROWS = 1000
 
 
+def prepare(spark: SparkSession) -> None:
+    """Small Arrow batches, and workers that find this package where the driver found it.
+
+    A cluster whose machines lack that folder ships the package with ``--py-files``.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query and, where SQL can express it, its oracle."""
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+            prepare(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run
