@@ -172,7 +172,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sets, pa.binary())], names=["id", "y", "terms"])
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
+    # The sample is bounded by ``max_rows``, so it goes to the texts and no text is shuffled.
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
     found = texts.select(F.col("id").cast("string").alias("id"), "y", "text").mapInArrow(
         hashed, "id string, y int, terms binary")
     rows = sorted(found.collect(), key=lambda r: (r["id"], bytes(r["terms"])))
