@@ -6,7 +6,7 @@ import importlib
 
 from .common import ORACLES, QUERIES
 
-MODULES = ("warc", "token_counts", "ngram_join", "pii", "fingerprints", "toxicity")
+MODULES = ("warc", "token_counts", "ngram_join", "pii", "fingerprints", "decontamination", "toxicity")
 
 for _name in MODULES:
     importlib.import_module(f"{__package__}.{_name}")
