@@ -6,7 +6,7 @@ import importlib
 
 from .common import ORACLES, QUERIES
 
-MODULES = ("warc", "token_counts", "ngram_join", "sentencepieces", "pii", "fingerprints", "decontamination", "chat", "toxicity")
+MODULES = ("warc", "html_text", "token_counts", "ngram_join", "sentencepieces", "pii", "fingerprints", "decontamination", "chat", "toxicity")
 
 for _name in MODULES:
     importlib.import_module(f"{__package__}.{_name}")
