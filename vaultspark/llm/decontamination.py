@@ -274,6 +274,24 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     return out
 
 
+def drop_contaminated(df: DataFrame, items: DataFrame, text_col: str = "text",
+                      item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` in whose text no item is found; columns as they are, nothing is shuffled."""
+    at = df.columns.index(text_col)
+    for part in _slices(items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))):
+        shipped = df.sparkSession.sparkContext.broadcast(Index(passages(part)))
+
+        def clean(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for number, *_ in matches(shipped.value, [t.as_py() or "" for t in batch.column(at)]):
+                    keep[number] = False
+                yield batch.filter(pa.array(keep))
+
+        df = df.mapInArrow(clean, df.schema)
+    return df
+
+
 @query("op6_decontamination")
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = read_columns(spark, sf_dir, "benchmark", item_id="long", text="string")
