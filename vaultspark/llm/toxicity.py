@@ -37,8 +37,8 @@ MAX_ROWS = 6_000
 MAX_TERMS = 2_048
 MIN_CHI2 = 12.0
 FACTORS = 8
-PREFIX = 5
-EPOCHS = 12
+PREFIXES = (4, 5, 6)
+EPOCHS = 30
 THRESHOLD = 0.7
 WORDS_KEPT = 300_000
 
@@ -53,10 +53,8 @@ def terms_of(word: str) -> tuple[int, ...]:
     letters = "".join(c for c in word.lower() if c.isalpha())
     if not letters:
         return ()
-    whole = zlib.crc32(b"w:" + letters.encode()) % BUCKETS
-    if len(letters) <= PREFIX:
-        return (whole,)
-    return whole, zlib.crc32(b"p:" + letters[:PREFIX].encode()) % BUCKETS
+    parts = [b"w:" + letters.encode(), *(b"p:" + letters[:k].encode() for k in PREFIXES if len(letters) > k)]
+    return tuple(zlib.crc32(p) % BUCKETS for p in parts)
 
 
 class Model:
@@ -99,8 +97,8 @@ def _constant(rate: float) -> Model:
                  np.zeros(0, np.float32), np.zeros((0, FACTORS), np.float32))
 
 
-def train(sets: list[np.ndarray], labels: np.ndarray, odds: float = 1.0, seed: int = 7) -> Model:
-    """Fit to sets of buckets; ``odds`` is how much rarer than here label 1 really is."""
+def train(sets: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
+    """Fit to sets of buckets. Scores hold for labels as frequent as in this sample."""
     n, n_pos = len(labels), int(labels.sum())
     if n_pos in (0, n):
         return _constant(n_pos / n if n else 0.0)
@@ -135,8 +133,8 @@ def train(sets: list[np.ndarray], labels: np.ndarray, odds: float = 1.0, seed: i
             s = x @ factor
             z = bias + x @ weight + 0.5 * ((s * s).sum(1) - x @ (factor * factor).sum(1))
             g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]) / len(part)
-            gw = x.T @ g + 2e-4 * weight
-            gv = x.T @ (g[:, None] * s) - (x.T @ g)[:, None] * factor + 2e-3 * factor
+            gw = x.T @ g + 2e-5 * weight
+            gv = x.T @ (g[:, None] * s) - (x.T @ g)[:, None] * factor + 5e-4 * factor
             gb = g.sum()
             sum_b += gb * gb
             sum_w += gw * gw
@@ -144,7 +142,7 @@ def train(sets: list[np.ndarray], labels: np.ndarray, odds: float = 1.0, seed: i
             bias -= 0.2 * gb / math.sqrt(sum_b)
             weight -= 0.2 * gw / np.sqrt(sum_w)
             factor -= 0.05 * gv / np.sqrt(sum_v)
-    return Model(place, bias - math.log(odds), weight.astype(np.float32), factor.astype(np.float32))
+    return Model(place, bias, weight.astype(np.float32), factor.astype(np.float32))
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -177,8 +175,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = texts.select(F.col("id").cast("string").alias("id"), "y", "text").mapInArrow(
         hashed, "id string, y int, terms binary")
     rows = sorted(found.collect(), key=lambda r: (r["id"], bytes(r["terms"])))
-    odds = share.get(0, 1.0) and share.get(1, 1.0) / share.get(0, 1.0)
-    return train([np.frombuffer(r["terms"], np.int32) for r in rows], np.array([r["y"] for r in rows], int), odds)
+    return train([np.frombuffer(r["terms"], np.int32) for r in rows], np.array([r["y"] for r in rows], int))
 
 
 def score_texts(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
