@@ -91,7 +91,7 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     step = (hi - lo) // n_bins + 1
     # Ids may span more than a long holds: differences are taken as decimals.
     wide = F.col("id").cast("decimal(38,0)") - F.lit(lo).cast("decimal(38,0)")
-    bin_of = F.coalesce(F.floor(wide / F.lit(step).cast("decimal(38,0)")).cast("int"), F.lit(0))
+    bin_of = F.coalesce(F.call_function("div", wide, F.lit(step).cast("decimal(38,0)")).cast("int"), F.lit(0))
     bins = ids.groupBy(bin_of.alias("bin")).agg(
         F.count("*").alias("n"), F.min("id").alias("first"), F.bool_or(F.col("id").isNull()).alias("nulls"))
     bucket_of, firsts, filled = [0] * n_bins, [], BUCKET_ROWS

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -69,8 +70,9 @@ class _Model:
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
 
     def encode(self, text: str) -> tuple[list[int], list[int]]:
-        found = self.library.encode(text, out_type="immutable_proto")
-        return [p.id for p in found.pieces], [p.begin for p in found.pieces]
+        found = self.library.encode(text, return_type="proto").pieces
+        sizes = [len(p.surface) for p in found]
+        return [p.id for p in found], [0, *accumulate(sizes)][:-1] if sizes else []
 
 
 _LOADED: dict[str, object] = {}
@@ -121,7 +123,8 @@ def spliced(text: str, encode: Encoder, chunk: int = CHUNK_CHARS, overlap: int =
 def _core(word: str) -> tuple[str, str]:
     """A word without its end marks, and the marks, if a pre-token surely ends between."""
     core = word.rstrip(TAIL)
-    if core == word or not core or not core[-1].isalnum():
+    # Some letters end in a mark once in lower case, and a mark would join what follows.
+    if core == word or not core or not core[-1].lower()[-1].isalnum():
         core = word
     tail = word[len(core):]
     return (core.lower() if core.isascii() and core.isalnum() else core), tail
