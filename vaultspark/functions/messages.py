@@ -27,20 +27,6 @@ TRANSIENT_MARKERS = [
     "dbt failed",
 ]
 DISCOVERY_MISSING_TABLE = "not found in lake tables"
-OPERATION_KINDS = [
-    "OPERATION_KIND_UNSPECIFIED",
-    "OPERATION_ADD_COLUMN",
-    "OPERATION_DROP_COLUMN",
-    "OPERATION_RENAME_COLUMN",
-    "OPERATION_CHANGE_TYPE",
-    "OPERATION_CREATE_COMPAT_VIEW",
-    "OPERATION_DROP_COMPAT_VIEW",
-    "OPERATION_NEW_SATELLITE",
-    "OPERATION_ALTER_SATELLITE",
-    "OPERATION_NEW_HUB",
-    "OPERATION_NEW_LINK",
-]
-LAYERS = ["LAYER_UNSPECIFIED", "LAYER_LAKE", "LAYER_VAULT"]
 OK = "OPERATION_STATUS_OK"
 ALREADY_APPLIED = "OPERATION_STATUS_ALREADY_APPLIED"
 TRANSIENT_ERROR = "OPERATION_STATUS_TRANSIENT_ERROR"

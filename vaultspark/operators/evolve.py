@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from ..functions import messages as M
 from ..functions.names import model_version, physical_name, singularize, versioned
-from ..session import SMALL_ROWS, broadcast_if_small, keep
+from ..session import keep
 from .modelling import REGISTRY_COLUMNS, infer_business_keys, split_vault, table_metadata
 
 ADD_COLUMN = "OPERATION_ADD_COLUMN"
@@ -177,11 +177,11 @@ def validate_ops(ops: DataFrame) -> DataFrame:
         .when(F.col("error_code") == "UNSUPPORTED_OPERATION", F.concat(F.lit("kind not supported: "), "kind"))
         .when(
             F.col("error_code") == "MISSING_PARAM",
-            F.concat(F.lit("column_name parameter is required for "), "kind"),
+            F.concat(F.lit("no column_name given for "), "kind"),
         )
         .when(
             F.col("error_code") == "MISSING_TARGET",
-            F.concat(F.lit("target (table_name) is required for "), "kind"),
+            F.concat(F.lit("no target table given for "), "kind"),
         )
     )
     return (
@@ -514,9 +514,9 @@ def _first_unmatched_drop(
     )
     drops = valid.filter(F.col("kind") == DROP_COLUMN).select("table_name", "seq")
     return (
-        drops.join(broadcast_if_small(templates.select("table_name")), "table_name", "left_semi")
+        drops.join(templates.select("table_name"), "table_name", "left_semi")
         .join(
-            broadcast_if_small(covered),
+            covered,
             (F.col("table_name") == F.col("t"))
             & (F.col("seq") >= F.col("since"))
             & (F.col("seq") < F.col("until")),
@@ -709,7 +709,7 @@ def apply_batch(
     """
     present = set(kinds or HANDLED)
     # Everything below branches off a few small frames of metadata, and branches
-    # again. Checkpoints keep the plans short and the operations, the catalog and
+    # again. Kept frames keep the plans short and the operations, the catalog and
     # the registry from being read once per branch.
     catalog = keep(catalog.select("table_name", "ordinal", "column_name", "data_type"))
     registry = keep(_with_plan_id(registry))
@@ -760,15 +760,11 @@ def apply_batch(
 def _results(checked: DataFrame, facts: DataFrame, changed: DataFrame) -> DataFrame:
     """A status for every operation.
 
-    Both joins have a right side of schema size. It is counted and broadcast, so
-    that the operations are neither shuffled nor gathered by table; should it be
-    too large for that, AQE's skew handling splits a hot table.
+    Both joins have a right side of schema size, kept as files of known size: below
+    Spark's threshold it is broadcast, else AQE's skew handling splits a hot table.
     """
-    # Rows that carry whole column lists are wide, so fewer of them count as small.
-    known = broadcast_if_small(
-        facts.select("table_name", "business_keys", "present", "link_fks", "found"), SMALL_ROWS // 10
-    )
-    changed = broadcast_if_small(changed).withColumn("changed", F.lit(True))
+    known = facts.select("table_name", "business_keys", "present", "link_fks", "found")
+    changed = changed.withColumn("changed", F.lit(True))
     kind = F.col("kind")
     is_valid = F.col("objection").isNull()
     names_key = (

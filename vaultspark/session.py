@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings that every run wants. Sizes (shuffle partitions, memory, executors)
 # belong to the deployment; AQE coalesces or splits whatever it is given.
@@ -50,31 +49,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Let ``DataFrame.checkpoint`` write to the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+def keep(df: DataFrame) -> DataFrame:
+    """Write a frame that is used several times to the shared folder, and read it back.
 
-
-# Rows up to which a frame of metadata may live in one partition or be broadcast.
-SMALL_ROWS = 100_000
-
-
-def keep(df: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Cut the lineage of a frame that is used several times.
-
-    Meant for metadata. A frame counted to be small comes back as one partition,
-    which spares every later join, window and aggregation its shuffle; a larger
-    one stays distributed.
+    Its lineage ends there, so a lost executor costs no recomputation, and Spark
+    knows its true size: whether a join broadcasts it is left to
+    ``spark.sql.autoBroadcastJoinThreshold`` and to AQE.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    kept = df.checkpoint()
-    return kept.coalesce(1) if kept.count() <= small_rows else kept
-
-
-def broadcast_if_small(kept: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast a kept frame after counting it; else leave the join to AQE."""
-    return F.broadcast(kept) if kept.count() <= small_rows else kept
+    path = scratch_path(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
