@@ -11,7 +11,7 @@ from ..functions.canonical import timestamps_as_text
 from ..operators import bronze as B
 from ..operators import envelope as EV
 from ..sources import lake as L
-from .common import CHANGE_COLUMNS, T1, catalog, columns_of, consumed, lake, query, sql_ts_text, with_catalog
+from .common import CHANGE_COLUMNS, T1, catalog, columns_of, consumed, lake, query, sql_ts_text, with_catalog, with_counts
 
 # A bronze layer that lags the lake: tables before 'l', without key columns
 # named *key, with one column of its own per table.
@@ -123,16 +123,13 @@ else 'STRING' end as bronze_type from catalog"""
     ),
 )
 def bronze_type_map(spark, sf):
-    return B.bronze_types(catalog(spark, sf))
+    return B.bronze_types(with_counts(spark, sf, catalog(spark, sf)))
 
 
 @query("bronze_empty_schema", with_catalog(" select table_name, ordinal, column_name, 'string' as data_type from catalog"))
 def bronze_empty_schema(spark, sf):
-    """The catalog of the empty bronze frames of all columns that carry values."""
-    observed = catalog(spark, sf)
-    tables = L.read_lake_tables(spark, sf)
-    empty = L.catalog_of(spark, L.empty_bronze_tables(spark, tables))
-    return empty.join(observed.select("table_name", "ordinal"), ["table_name", "ordinal"], "left_semi")
+    """The catalog of the empty bronze frames of all tables, empty ones too."""
+    return L.catalog_of(spark, L.empty_bronze_tables(spark, L.read_lake_tables(spark, sf)))
 
 
 @query(

@@ -27,6 +27,7 @@ from .common import (
     sql_payload,
     sql_ts_text,
     with_catalog,
+    with_counts,
 )
 
 MARK = dt.datetime(2024, 1, 15)
@@ -49,7 +50,7 @@ def lake_tables(spark, sf):
 
 @query("lake_catalog", f"with {COUNTED} select * from counted")
 def lake_catalog(spark, sf):
-    return L.observe_lake(spark, sf)
+    return with_counts(spark, sf, catalog(spark, sf))
 
 
 @query(

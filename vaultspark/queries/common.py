@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.names import KEY_TOKENS, TECHNICAL_COLUMNS
 from ..operators import cdc
 from ..operators.modelling import model_lake
-from ..sources.lake import observe_lake, read_lake
+from ..sources.lake import lake_catalog, observe_lake, read_lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,8 +65,16 @@ def lake(spark: SparkSession, sf: str, table: str) -> DataFrame:
 
 
 def catalog(spark: SparkSession, sf: str) -> DataFrame:
-    """Columns that carry values, as a change stream would show them."""
-    return observe_lake(spark, sf).filter("n_values > 0")
+    """All columns of all tables, empty ones too."""
+    return lake_catalog(spark, sf)
+
+
+def with_counts(spark: SparkSession, sf: str, columns: DataFrame) -> DataFrame:
+    """A catalog with ``n_values``, the number of values of each column."""
+    counts = observe_lake(spark, sf).select("table_name", "column_name", F.col("n_values").alias("n"))
+    return columns.join(counts, ["table_name", "column_name"], "left").select(
+        *columns.columns, F.coalesce("n", F.lit(0)).alias("n_values")
+    )
 
 
 def registry(spark: SparkSession, sf: str) -> DataFrame:
@@ -182,7 +190,7 @@ def _counts() -> str:
 
 
 COUNTED = f"counted as ({_counts()})"
-CATALOG = f"{COUNTED}, catalog as (select * from counted where n_values > 0)"
+CATALOG = f"{COUNTED}, catalog as (select * from counted)"
 
 _TECHNICAL = ", ".join(f"'{c}'" for c in TECHNICAL_COLUMNS)
 

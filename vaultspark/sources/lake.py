@@ -7,9 +7,7 @@ A table is either one file ``<root>/<table>.parquet`` or a directory
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -18,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import keep
+from ..session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -108,7 +106,8 @@ def observed_catalog(tables: dict[str, DataFrame]) -> DataFrame:
             f"{quoted(table)}, {i + 1}, {quoted(f.name.lower())}, {quoted(f.dataType.simpleString())}, c{i}"
             for i, f in enumerate(fields)
         )
-        return counts.selectExpr(
+        # Footers of an empty table answer NULL.
+        return counts.na.fill(0).selectExpr(
             f"stack({len(fields)}, {rows}) as (table_name, ordinal, column_name, data_type, n_values)"
         )
 
@@ -123,16 +122,8 @@ _FOOTER_COUNTS = {
 }
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key) for key in values}
-    try:
-        for key, value in values.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+# When a file lacks the statistics that would answer, Spark's error names this setting.
+_NO_STATISTICS = "spark.sql.parquet.aggregatePushdown"
 
 
 def observe_lake(spark: SparkSession, root: str) -> DataFrame:
@@ -142,12 +133,19 @@ def observe_lake(spark: SparkSession, root: str) -> DataFrame:
     without statistics cannot answer; then the columns are scanned. The result
     is metadata, kept in the shared folder because callers use it repeatedly.
     """
+    # A session of its own has the settings; other queries of this one do not see them.
+    own = spark.newSession()
+    for key, value in _FOOTER_COUNTS.items():
+        own.conf.set(key, value)
+    path = scratch_path(spark, "observed")
     try:
-        with _settings(spark, _FOOTER_COUNTS):
-            return keep(observed_catalog(read_lake_tables(spark, root)))
+        observed_catalog(read_lake_tables(own, root)).write.parquet(path)
     except (PySparkException, Py4JJavaError) as error:
-        log.warning("footers hold no counts, scanning instead: %s", str(error).split("\n")[0])
-        return keep(observed_catalog(read_lake_tables(spark, root)))
+        if _NO_STATISTICS not in str(error):
+            raise
+        log.warning("files of %s hold no counts, scanning instead", root)
+        observed_catalog(read_lake_tables(spark, root)).write.mode("overwrite").parquet(path)
+    return spark.read.schema(OBSERVED_SCHEMA).parquet(path)
 
 
 def bronze_schema(columns: list[str]) -> T.StructType:
