@@ -8,12 +8,14 @@ a change payload:
 * doubles and floats: shortest digits that round-trip, positional from 1e-4 up
   to 1e16, otherwise ``d.ddde+XX``; NaN counts as missing (above 1e17 an old
   JVM's last digit may differ from other engines', alike on every load);
-* timestamps: ``YYYY-MM-DD HH:MM:SS`` plus six fraction digits if there are any;
+* timestamps: ``YYYY-MM-DD HH:MM:SS`` in UTC plus six fraction digits if there are any;
 * nested values: JSON.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,8 +57,23 @@ def _double_text(c: Column) -> Column:
     return F.when(ordinary, c.cast("string")).when(~missing, wide)
 
 
-def _timestamp_text(c: Column) -> Column:
-    text = c.cast("string")
+def utc_literal(value: dt.datetime) -> Column:
+    """A timestamp literal; a time without zone is UTC, wherever the driver runs."""
+    aware = value if value.tzinfo else value.replace(tzinfo=dt.timezone.utc)
+    return F.lit(aware).cast("timestamp")
+
+
+def utc_wall_time(c: Column, data_type: T.DataType) -> Column:
+    """A timestamp's date and time in UTC, as TIMESTAMP_NTZ, whatever the session's zone."""
+    if isinstance(data_type, T.TimestampNTZType):
+        return c
+    # Added to the epoch: a way through local time would be ambiguous when clocks go back.
+    seconds = (F.unix_micros(c).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
+
+
+def _timestamp_text(c: Column, data_type: T.DataType) -> Column:
+    text = utc_wall_time(c, data_type).cast("string")
     return F.when(~text.contains("."), text).otherwise(
         F.concat(
             F.substring_index(text, ".", 1),
@@ -76,7 +93,7 @@ def canonical_text(c: Column, data_type: T.DataType) -> Column:
         # Widening through text keeps the float's own shortest digits.
         return _double_text(c.cast("string").cast("double"))
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return _timestamp_text(c)
+        return _timestamp_text(c, data_type)
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
         return F.to_json(c)
     if isinstance(data_type, T.BinaryType):
@@ -87,7 +104,7 @@ def canonical_text(c: Column, data_type: T.DataType) -> Column:
 def iso_utc(c: Column, data_type: T.DataType) -> Column:
     """ISO-8601 with offset for the change column; other types as canonical text."""
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.concat(F.translate(_timestamp_text(c), " ", "T"), F.lit("+00:00"))
+        return F.concat(F.translate(_timestamp_text(c, data_type), " ", "T"), F.lit("+00:00"))
     return canonical_text(c, data_type)
 
 

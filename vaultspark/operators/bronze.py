@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..functions.canonical import utc_literal
 from ..functions.names import BRONZE_AUDIT_COLUMNS, bronze_type
 
 
@@ -99,7 +100,7 @@ def adopt_parquet(df: DataFrame, columns: list[str], now: dt.datetime, source: s
     return df.select(
         *[F.col(f"`{c}`").alias(c.lower()) for c in df.columns],
         *[F.lit(None).cast("string").alias(c.lower()) for c in extra],
-        F.lit(now).cast("timestamp").alias("__ingested_at"),
+        utc_literal(now).alias("__ingested_at"),
         F.lit(source).alias("__record_source"),
     )
 
@@ -108,7 +109,7 @@ def prune_bronze(df: DataFrame, cutoff: dt.datetime) -> DataFrame:
     """Rows not older than the cutoff; a frame without an ingest time keeps all."""
     if "__ingested_at" not in df.columns:
         return df
-    mark = F.lit(cutoff).cast(df.schema["__ingested_at"].dataType)
+    mark = utc_literal(cutoff)
     return df.filter(F.col("__ingested_at").isNull() | (F.col("__ingested_at") >= mark))
 
 

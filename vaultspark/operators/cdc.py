@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.canonical import canonical_text, iso_utc
+from ..functions.canonical import canonical_text, iso_utc, utc_literal
 
 INSERT = "insert"  # fixed value: the only change kind captured
 
@@ -48,8 +48,17 @@ def cdc_full(df: DataFrame, table: str, ts_col: str) -> DataFrame:
 
 def watermark_of(watermarks: DataFrame, table: str) -> dt.datetime | None:
     """One table's mark, as a literal for scan pushdown (a single value)."""
-    row = watermarks.filter(F.col("table_name") == table).agg(F.max("watermark").alias("w")).first()
-    return row["w"]
+    row = watermarks.filter(F.col("table_name") == table).agg(F.max("watermark").alias("w")).select(micros_of("w")).first()
+    return from_micros(row[0])
+
+
+def micros_of(column: str) -> Column:
+    """A mark as a number, which does not change on its way to the driver."""
+    return F.unix_micros(F.col(column).cast("timestamp")).alias(column)
+
+
+def from_micros(value: int | None) -> dt.datetime | None:
+    return None if value is None else dt.datetime.fromtimestamp(0, dt.timezone.utc) + dt.timedelta(microseconds=value)
 
 
 def new_rows(df: DataFrame, ts_col: str, mark: dt.datetime | None) -> DataFrame:
@@ -61,9 +70,10 @@ def new_rows(df: DataFrame, ts_col: str, mark: dt.datetime | None) -> DataFrame:
     if mark is None:
         return df.filter(F.col(f"`{ts_col}`").isNotNull())
     data_type = df.schema[ts_col].dataType
-    past = F.lit(mark)
+    past = utc_literal(mark)
     if isinstance(data_type, T.TimestampNTZType):
-        past = past.cast("timestamp_ntz")
+        wall = mark.astimezone(dt.timezone.utc) if mark.tzinfo else mark
+        past = F.lit(wall.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     return df.filter(_mark_of(F.col(f"`{ts_col}`"), data_type) > past)
 
 
@@ -76,8 +86,13 @@ def cdc_incremental(
 
 def change_marks(df: DataFrame, table: str, ts_col: str) -> DataFrame:
     """``(table_name, watermark)`` of captured rows, reduced to one row."""
-    mark = _mark_of(F.col(f"`{ts_col}`"), df.schema[ts_col].dataType).cast("timestamp")
-    return df.agg(F.max(mark).alias("watermark")).select(F.lit(table).alias("table_name"), "watermark")
+    data_type = df.schema[ts_col].dataType
+    newest = df.agg(F.max(_mark_of(F.col(f"`{ts_col}`"), data_type)).alias("watermark"))
+    mark = F.col("watermark")
+    if isinstance(data_type, (T.TimestampNTZType, T.DateType)):
+        # A time without zone is UTC.
+        mark = F.concat(mark.cast("timestamp_ntz").cast("string"), F.lit("Z"))
+    return newest.select(F.lit(table).alias("table_name"), mark.cast("timestamp").alias("watermark"))
 
 
 def advance_watermarks(changes: DataFrame, watermarks: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.canonical import utc_literal
+
 # --- Fixed values: field names of a change message. ---------------------------
 CHANGE_TIME_FIELDS = ["cdc_modified_at", "cdc_ingestion_timestamp", "modified_at"]
 ENVELOPE_COLUMNS = ["table", "payload", "cdc_type", "cdc_modified_at"]
@@ -24,18 +26,21 @@ def parse_envelopes(messages: DataFrame) -> DataFrame:
     """Messages to envelope columns; those that name no table are dropped.
 
     A malformed message parses to NULL fields and so goes the same way. The
-    change time is read under any of its three spellings.
+    change time is read under any of its three spellings. Other columns of the
+    message, such as its source position, stay.
     """
+    rest = [c for c in messages.columns if c != "value"]
     # Unpacking through a generator keeps the filter above the parse; pushed into
     # the projection, it would parse every message a second time.
     return (
-        messages.select(F.inline(F.array(F.from_json("value", _MESSAGE))))
+        messages.select(*rest, F.inline(F.array(F.from_json("value", _MESSAGE))))
         .filter(F.col("table").isNotNull())
         .select(
             "table",
             "payload",
             "cdc_type",
             F.coalesce(*CHANGE_TIME_FIELDS).alias("cdc_modified_at"),
+            *rest,
         )
     )
 
@@ -126,7 +131,7 @@ def add_audit(
     if now is None:
         now = F.current_timestamp()
     elif not isinstance(now, Column):
-        now = F.lit(now).cast("timestamp")
+        now = utc_literal(now)
     return df.withColumn("__ingested_at", now).withColumn("__record_source", F.lit(source))
 
 

@@ -15,13 +15,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.canonical import hashdiff
+from ..functions.canonical import hashdiff, utc_literal
 
 AUDIT = ["load_datetime", "record_source"]
 
 
 def _with_audit(df: DataFrame, source: str, now: dt.datetime | None) -> DataFrame:
-    stamp = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    stamp = F.current_timestamp() if now is None else utc_literal(now)
     return df.withColumn("load_datetime", stamp).withColumn("record_source", F.lit(source))
 
 

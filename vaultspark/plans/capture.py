@@ -12,7 +12,8 @@ from ..operators import cdc
 
 def _marks(watermarks: DataFrame) -> dict[str, dt.datetime]:
     """Marks by table: one value per table, needed as scan literals."""
-    return {r["table_name"]: r["watermark"] for r in watermarks.collect() if r["watermark"]}
+    rows = watermarks.select("table_name", cdc.micros_of("watermark")).collect()
+    return {r["table_name"]: cdc.from_micros(r["watermark"]) for r in rows if r["watermark"] is not None}
 
 
 def capture(
