@@ -51,6 +51,39 @@ def test_prune_drops_days_and_cuts_the_boundary(spark, tmp_path):
     assert S.prune_bronze_store(spark, root, cutoff) == 0
 
 
+def test_interrupted_prune_is_finished(spark, tmp_path):
+    root = str(tmp_path)
+    at = [dt.datetime(2024, 3, 2, h) for h in (11, 13)]
+    S.write_bronze(landed(spark, [("a", '{"x":"1"}')], at[0]).unionByName(landed(spark, [("a", '{"x":"2"}')], at[1])), root, 4)
+    place = "table=a/ingest_date=2024-03-02/stream=s-direct/batch=4"
+    # As if the prune had stopped after deleting the live folder.
+    spark.read.parquet(f"{root}/{place}").filter("fields['x'] = '2'").write.parquet(f"{root}/_staged/{place.replace('/', '!')}")
+    S._delete(spark, f"{root}/{place}")
+    S.prune_bronze_store(spark, root, dt.datetime(2024, 3, 2, 12))
+    assert [r.fields["x"] for r in S.read_bronze(spark, root).collect()] == ["2"]
+
+
+def test_zone_of_session_and_driver_changes_nothing(spark):
+    from vaultspark.functions.canonical import canonical_text, hashdiff
+    from vaultspark.operators import cdc
+
+    frame = spark.sql("select timestamp'2024-11-03T05:30:00.5Z' a, timestamp_ntz'2024-01-01 00:00:00' b, 'k' k")
+    seen = set()
+    for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            [r] = frame.select(
+                canonical_text(F.col("a"), frame.schema["a"].dataType), canonical_text(F.col("b"), frame.schema["b"].dataType),
+                hashdiff(frame, ["a", "b"]), cdc.payload(frame, "a")).collect()
+            [stamp] = V.load_hub(frame, ["k"], "t", DAY).select(F.unix_micros("load_datetime")).first()
+            marks = cdc.change_marks(frame, "t", "b")
+            seen.add((*r, stamp, cdc.watermark_of(marks, "t"), cdc.new_rows(frame, "b", cdc.watermark_of(marks, "t")).count()))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    [one] = seen
+    assert one[:2] == ("2024-11-03 05:30:00.500000", "2024-01-01 00:00:00") and one[4] == 1709251200 * 10**6 and one[-1] == 0
+
+
 def test_vault_load_twice_is_a_no_op(spark, sf_dir, tmp_path):
     root = str(tmp_path)
     tables = read_lake_tables(spark, sf_dir)
@@ -100,7 +133,7 @@ def test_column_added_later_reads_as_null(spark, tmp_path):
     S.append_vault(V.load_satellite(old, ["k"], ["a"], "t", DAY), path, "1")
     S.append_vault(V.load_satellite(new, ["k"], ["a", "b"], "t", DAY), path, "2")
     assert sorted((r.k, r.b) for r in S.read_vault(spark, path).collect()) == [("1", None), ("2", "z")]
-    assert [r.k for r in S.read_vault(spark, path, before="2").collect()] == ["1"]
+    assert [r.k for r in S.read_vault(spark, path, without="2").collect()] == ["1"]
 
 
 def test_create_and_snapshots(spark, tmp_path):

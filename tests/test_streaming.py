@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from vaultspark.operators import cdc, vault
 from vaultspark.operators import lineage as LN
 from vaultspark.operators import modelling as MD
+from vaultspark.plans.load import load_vault
 from vaultspark.sources import envelopes as ES
 from vaultspark.sources import storage as S
 from vaultspark.sources.lake import catalog_of, read_lake_tables
@@ -71,6 +72,72 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     spark.streams.removeListener(recorder)
 
 
+def test_two_streams_into_one_root_keep_all_rows(spark, sf_dir, tmp_path):
+    root, vault_root = str(tmp_path / "bronze"), str(tmp_path / "vault")
+    orders = read_lake_tables(spark, sf_dir)["orders"]
+    registry = MD.model_lake(catalog_of(spark, {"orders": orders}))
+    refresh = vault_refresher(spark, registry, root, vault_root)
+    for part in (0, 1):
+        topic = str(tmp_path / f"topic{part}")
+        ES.publish_envelopes(cdc.cdc_full(orders.filter(F.col("o_orderkey") % 2 == part), "orders", "o_orderdate"), "text", topic)
+        run(spark, topic, root, str(tmp_path / f"check{part}"), name=f"two_{part}", on_after_write=refresh)
+    n = orders.count()
+    assert S.read_bronze(spark, root).count() == n
+    assert S.read_vault(spark, f"{vault_root}/hub_order").count() == n
+
+
+def test_failed_refresh_is_caught_up(spark, sf_dir, tmp_path):
+    path, root, vault_root = (str(tmp_path / d) for d in ("topic", "bronze", "vault"))
+    lake = publish(spark, sf_dir, path, {"orders": "o_orderdate"})
+    registry = MD.model_lake(catalog_of(spark, {"orders": lake["orders"]}))
+    refresh = vault_refresher(spark, registry, root, vault_root)
+    calls = []
+
+    def fails_once(touched, batch_id):
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise RuntimeError("once")
+        refresh(touched, batch_id)
+
+    run(spark, path, root, str(tmp_path / "c"), name="catch_up", on_after_write=fails_once)
+    n = lake["orders"].count()
+    assert len(calls) > 1 and S.read_vault(spark, f"{vault_root}/hub_order").count() == n
+
+    # Left out altogether, then caught up without a new batch; and nothing twice.
+    other = str(tmp_path / "vault2")
+    late = vault_refresher(spark, registry, root, other)
+    late.flush()
+    late.flush()
+    assert S.read_vault(spark, f"{other}/sat_order").count() == n
+
+
+def test_batch_load_then_stream_load(spark, sf_dir, tmp_path):
+    path, root, vault_root = (str(tmp_path / d) for d in ("topic", "bronze", "vault"))
+    lake = publish(spark, sf_dir, path, {"orders": "o_orderdate"})
+    registry = MD.model_lake(catalog_of(spark, {"orders": lake["orders"].drop("o_orderdate")}))
+    load_vault(registry, {"orders": lake["orders"]}, vault_root, "2024-03-01T00-00")
+    before = {m: S.read_vault(spark, f"{vault_root}/{m}").count() for m in ("hub_order", "sat_order", "link_order_o_cust")}
+    run(spark, path, root, str(tmp_path / "c"), name="mixed", on_after_write=vault_refresher(spark, registry, root, vault_root))
+    assert {m: S.read_vault(spark, f"{vault_root}/{m}").count() for m in before} == before
+
+
+def test_progress_is_stored_not_dropped(spark, tmp_path):
+    class Event:
+        def __init__(self, k):
+            self.progress = type("P", (), dict(
+                name="q", batchId=k, numInputRows=1, inputRowsPerSecond=float("nan"), processedRowsPerSecond=2.0, durationMs={}, stateOperators=[]))
+
+    log = str(tmp_path / "log")
+    recorder = ProgressRecorder(spark, log, flush_every=3)
+    for k in range(7):
+        recorder.onQueryProgress(Event(k))
+    assert recorder.frame(spark).count() == 1
+    recorder.flush(spark, log)
+    stored = spark.read.parquet(log)
+    assert sorted(r.batch_id for r in stored.collect()) == list(range(7))
+    assert stored.filter("input_rows_per_second is not null").count() == 0
+
+
 def test_lost_checkpoint_replays_without_duplicates(spark, sf_dir, tmp_path):
     path, root = str(tmp_path / "topic"), str(tmp_path / "bronze")
     lake = publish(spark, sf_dir, path, {"orders": "o_orderdate"})

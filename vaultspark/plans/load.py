@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..functions.canonical import to_text_frame
 from ..operators import vault
 from ..sources.storage import append_vault, read_vault
 
@@ -30,10 +31,15 @@ def model_rows(source: DataFrame, model: Row, now: dt.datetime | None = None) ->
 def load_one(
     source: DataFrame, model: Row, root: str, load_id: str, now: dt.datetime | None = None
 ) -> None:
-    """Create or extend one vault table; repeating a load changes nothing."""
+    """Create or extend one vault table; repeating a load changes nothing.
+
+    Keys and attributes are stored as canonical text, the one type that lake
+    columns and payload fields share, so loads of either kind fit together.
+    """
     path = f"{root}/{model['model_name']}"
-    rows = model_rows(source, model, now)
-    target = read_vault(source.sparkSession, path, before=load_id)
+    columns = list(dict.fromkeys([*model["business_keys"], *model["attributes"]]))
+    rows = model_rows(to_text_frame(source.select(*columns)), model, now)
+    target = read_vault(source.sparkSession, path, without=load_id)
     if target is not None:
         keys = vault.merge_keys(model["model_type"], list(model["business_keys"]))
         rows = vault.new_hub_rows(target, rows, keys)

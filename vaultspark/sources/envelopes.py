@@ -10,30 +10,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# Ingest limits of the stream reader.
-MAX_MESSAGES_PER_TRIGGER = 50_000
-MAX_FILES_PER_TRIGGER = 100
+# Where a message came from: topic, partition and offset, or its file.
+POSITION = "__position"
 
 _KAFKA_BATCH = {"startingOffsets": "earliest", "endingOffsets": "latest"}
 _KAFKA_STREAM = {
     "startingOffsets": "earliest",
     "failOnDataLoss": "false",
-    "maxOffsetsPerTrigger": str(MAX_MESSAGES_PER_TRIGGER),
 }
 
 
+def _with_position(frame: DataFrame, fmt: str) -> DataFrame:
+    if fmt == "kafka":
+        place = F.concat_ws("/", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    else:
+        place = F.col("_metadata.file_path")
+    return frame.select(F.col("value").cast("string").alias("value"), place.alias(POSITION))
+
+
 def envelope_stream(
-    spark: SparkSession, fmt: str, path: str | None = None, **options: str
+    spark: SparkSession, fmt: str, path: str | None = None, per_trigger: int | None = None, **options: str
 ) -> DataFrame:
-    """Unbounded messages, from the earliest one on, a bounded number per trigger."""
+    """Unbounded messages with their source position, from the earliest one on.
+
+    ``per_trigger`` bounds the messages (files, with a file format) of a
+    micro-batch; without it a batch takes all there is.
+    """
     reader = spark.readStream.format(fmt)
-    defaults = _KAFKA_STREAM if fmt == "kafka" else {"maxFilesPerTrigger": str(MAX_FILES_PER_TRIGGER)}
+    defaults = dict(_KAFKA_STREAM) if fmt == "kafka" else {}
+    if per_trigger is not None:
+        defaults["maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"] = str(per_trigger)
     for key, value in {**defaults, **options}.items():
         reader = reader.option(key, value)
     if fmt not in ("kafka", "text"):
         reader = reader.schema("value string")
     frame = reader.load(path) if path else reader.load()
-    return frame.select(F.col("value").cast("string").alias("value"))
+    return _with_position(frame, fmt)
 
 
 def envelope_batch(

@@ -1,7 +1,10 @@
 """Bronze and vault storage on plain Parquet, safe to retry.
 
-Bronze is one dataset partitioned by ``table, ingest_date, batch``. A batch
-replaces exactly its own partitions, so a replayed batch does not duplicate.
+Bronze is one dataset partitioned by ``table, ingest_date, stream, batch``. The
+stream is an id that lives with a checkpoint, so a batch replaces exactly its own
+partitions: a replayed batch does not duplicate, and streams into one root never
+touch each other's rows. A message that a second stream (after a lost checkpoint,
+say) landed again is known by its source position; readers take its first landing.
 Vault tables are append-only datasets partitioned by ``load_id``; a load that is
 run again replaces what its first, possibly unfinished, try left behind.
 """
@@ -9,12 +12,16 @@ run again replaces what its first, possibly unfinished, try left behind.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-BRONZE_PARTITIONS = ["table", "ingest_date", "batch"]
+from ..functions.canonical import utc_literal, utc_wall_time
+from .envelopes import POSITION
+
+BRONZE_PARTITIONS = ["table", "ingest_date", "stream", "batch"]
+NO_STREAM = "direct"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -42,14 +49,31 @@ def _children(spark: SparkSession, path: str) -> list[str]:
 # --- bronze -------------------------------------------------------------------
 
 
-def write_bronze(landed: DataFrame, root: str, batch: int) -> None:
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream with this checkpoint: made once, kept beside its offsets."""
+    folder = f"{checkpoint}/vaultspark_stream"
+    found = _children(spark, folder)
+    if found:
+        return found[0]
+    name = uuid.uuid4().hex
+    fs, path = _fs(spark, f"{folder}/{name}")
+    fs.mkdirs(path)
+    return name
+
+
+def write_bronze(landed: DataFrame, root: str, batch: int, stream: str = NO_STREAM) -> None:
     """Land one batch (see ``operators.envelope.land_payload``), replacing a replay.
 
     The rebalance hint lets AQE merge small tables into few files and cut a
     table that dominates the batch into several tasks.
     """
+    day = F.to_date(utc_wall_time(F.col("__ingested_at"), landed.schema["__ingested_at"].dataType))
+    spark = landed.sparkSession
+    fs, mark = _fs(spark, f"{root}/_streams/{stream}")
+    fs.mkdirs(mark)
     (
-        landed.withColumn("ingest_date", F.to_date("__ingested_at"))
+        landed.withColumn("ingest_date", day)
+        .withColumn("stream", F.lit(f"s-{stream}"))
         .withColumn("batch", F.lit(int(batch)))
         .hint("rebalance", "table")
         .write.mode("overwrite")
@@ -60,9 +84,34 @@ def write_bronze(landed: DataFrame, root: str, batch: int) -> None:
 
 
 def read_bronze(spark: SparkSession, root: str, table: str | None = None) -> DataFrame:
-    """Landed rows, of one table if named (partition-pruned)."""
-    frame = spark.read.option("basePath", root).parquet(root)
-    return frame if table is None else frame.filter(F.col("table") == table.lower())
+    """Landed rows, of one table if named (partition-pruned), each message once.
+
+    Only where several streams landed here can a source position repeat; it then
+    belongs to the batch that landed it first.
+    """
+    frame = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(root)
+    if table is not None:
+        frame = frame.filter(F.col("table") == table.lower())
+    if POSITION not in frame.columns or len(_children(spark, f"{root}/_streams")) < 2:
+        return frame
+    landing = F.struct("__ingested_at", "stream", "batch")
+    first = frame.filter(F.col(POSITION).isNotNull()).groupBy(POSITION).agg(F.min(landing).alias("__first"))
+    return (
+        frame.join(first, POSITION, "left")
+        .filter(F.col("__first").isNull() | (F.col("__first") == landing))
+        .select(*frame.columns)
+    )
+
+
+def bronze_batches(spark: SparkSession, root: str, table: str) -> set[tuple[str, str, str]]:
+    """``(ingest_date, stream, batch)`` folders of a table: names, not data."""
+    top = f"{root}/table={table.strip().lower()}"
+    return {
+        (day.partition("=")[2], stream.partition("=")[2], batch.partition("=")[2])
+        for day in _children(spark, top)
+        for stream in _children(spark, f"{top}/{day}")
+        for batch in _children(spark, f"{top}/{day}/{stream}")
+    }
 
 
 def truncate_bronze(spark: SparkSession, root: str, table: str) -> bool:
@@ -74,15 +123,38 @@ def truncate_bronze(spark: SparkSession, root: str, table: str) -> bool:
     return True
 
 
+def _recover(spark: SparkSession, root: str) -> None:
+    """Finish switches that an interrupted prune left: a staged folder that is complete takes its place."""
+    for name in _children(spark, f"{root}/_staged"):
+        staged = f"{root}/_staged/{name}"
+        if path_exists(spark, f"{staged}/_SUCCESS"):
+            _switch(spark, staged, f"{root}/{name.replace('!', '/')}")
+        else:
+            _delete(spark, staged)
+
+
+def _switch(spark: SparkSession, staged: str, live: str) -> None:
+    """Replace a folder by a complete one; repeating an interrupted switch ends it."""
+    fs, source = _fs(spark, staged)
+    _, target = _fs(spark, live)
+    fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move {staged} to {live}")
+
+
 def prune_bronze_store(spark: SparkSession, root: str, cutoff: dt.datetime) -> int:
     """Delete landed rows older than ``cutoff``; returns the partitions dropped or rewritten.
 
     Whole days before the cutoff go by deleting their folders. Only batches of
     the cutoff's own day are looked at, and only those that straddle the cutoff
-    are rewritten.
+    are rewritten: what stays is staged complete, then switched in by a rename. A
+    prune that stopped in between is finished by the next one.
     """
+    _recover(spark, root)
     touched = 0
-    day = cutoff.date().isoformat()
+    wall = cutoff.astimezone(dt.timezone.utc) if cutoff.tzinfo else cutoff
+    day = wall.date().isoformat()
     boundary = []
     for table in _children(spark, root):
         if not table.startswith("table="):
@@ -97,26 +169,24 @@ def prune_bronze_store(spark: SparkSession, root: str, cutoff: dt.datetime) -> i
     if not boundary:
         return touched
 
-    mark = F.lit(cutoff).cast("timestamp")
-    day_rows = read_bronze(spark, root).filter(F.col("ingest_date") == F.lit(day).cast("date"))
+    mark = utc_literal(cutoff)
+    frame = spark.read.option("basePath", root).parquet(root)
+    day_rows = frame.filter(F.col("ingest_date") == F.lit(day).cast("date"))
     stale = (
-        day_rows.groupBy("table", "batch")
+        day_rows.groupBy("table", "stream", "batch")
         .agg(F.min("__ingested_at").alias("oldest"), F.max("__ingested_at").alias("newest"))
         .filter(F.col("oldest") < mark)
     )
     # One row per batch of a single day: folder names, not data.
-    for row in stale.select("table", "batch", (F.col("newest") < mark).alias("whole")).collect():
-        path = f"{root}/table={row['table']}/ingest_date={day}/batch={row['batch']}"
+    for row in stale.select("table", "stream", "batch", (F.col("newest") < mark).alias("whole")).collect():
+        place = f"table={row['table']}/ingest_date={day}/stream={row['stream']}/batch={row['batch']}"
         if row["whole"]:
-            _delete(spark, path)
+            _delete(spark, f"{root}/{place}")
         else:
-            keep = spark.read.parquet(path).filter(F.col("__ingested_at") >= mark)
-            staged = f"{root}/_staged/{row['table']}-{row['batch']}"
-            keep.write.mode("overwrite").parquet(staged)
-            spark.read.parquet(staged).write.mode("overwrite").option(
-                "partitionOverwriteMode", "static"
-            ).parquet(path)
-            _delete(spark, staged)
+            left = spark.read.parquet(f"{root}/{place}").filter(F.col("__ingested_at") >= mark)
+            staged = f"{root}/_staged/{place.replace('/', '!')}"
+            left.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staged)
+            _switch(spark, staged, f"{root}/{place}")
         touched += 1
     return touched
 
@@ -126,20 +196,20 @@ def prune_bronze_store(spark: SparkSession, root: str, cutoff: dt.datetime) -> i
 
 def _load_value(load_id: str) -> str:
     # The prefix keeps partition discovery from reading digits as a number.
-    # Load ids must sort in load order, as timestamps do.
     return f"load-{load_id}"
 
 
-def read_vault(spark: SparkSession, path: str, before: str | None = None) -> DataFrame | None:
-    """A vault table, or None if it does not exist; ``before`` hides later loads."""
-    if not path_exists(spark, path):
+def read_vault(spark: SparkSession, path: str, without: str | None = None) -> DataFrame | None:
+    """A vault table, or None if nothing was loaded; ``without`` hides one load's rows.
+
+    A load that runs again leaves out its own rows, which it replaces, and sees
+    those of all others, whatever their ids and their order.
+    """
+    if not any(name.startswith("load_id=") for name in _children(spark, path)):
         return None
-    try:
-        frame = spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
-        return None  # the folder holds no finished file yet
-    if before is not None:
-        frame = frame.filter(F.col("load_id") < _load_value(before))
+    frame = spark.read.option("mergeSchema", "true").parquet(path)
+    if without is not None:
+        frame = frame.filter(F.col("load_id") != _load_value(without))
     return frame
 
 

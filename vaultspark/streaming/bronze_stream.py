@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import logging
+import time
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import envelope, lineage
-from ..plans.load import load_vault
-from ..sources.storage import read_bronze, write_bronze
+from ..plans.load import load_one
+from ..sources.storage import append_log, bronze_batches, path_exists, read_bronze, stream_id, write_bronze
 
 log = logging.getLogger(__name__)
 
@@ -34,13 +37,15 @@ def start_bronze_stream(
 
     All tables of a micro-batch land in one write. The ingest time is set in the
     streaming plan, where it is the batch's recorded time, so a replayed batch
-    gets the same one and replaces its own partitions. A failing write fails the
+    gets the same one and replaces its own partitions, which carry an id kept with
+    the checkpoint, so that no other stream can replace them. A failing write fails the
     batch; a failing callback is logged.
     """
     parsed = envelope.normalize_table(envelope.parse_envelopes(messages))
     if allowed_tables:
         parsed = envelope.allow_tables(parsed, allowed_tables)
     stamped = envelope.add_audit(parsed, source=source)
+    stream = stream_id(messages.sparkSession, checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         missing = envelope.missing_required(batch)
@@ -49,7 +54,7 @@ def start_bronze_stream(
             return
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_bronze(envelope.land_payload(rows), root, batch_id)
+            write_bronze(envelope.land_payload(rows), root, batch_id, stream)
             if on_after_write is None:
                 return
             touched = {r["table"]: r["n_rows"] for r in envelope.touched_tables(rows).collect()}
@@ -73,32 +78,74 @@ def start_bronze_stream(
     return writer.start()
 
 
-def vault_refresher(
-    spark: SparkSession, registry: DataFrame, bronze_root: str, vault_root: str
-) -> AfterWrite:
+class VaultRefresher:
     """An after-write callback that loads the touched tables' models.
 
-    Only the batch's own partitions are read; merges keep what is known.
+    Which bronze batches a model has taken in is logged below the vault. A refresh
+    loads every landed batch the log lacks, not just the newest, so what a failed
+    or left-out refresh missed comes with the next one; call ``flush`` to catch up
+    on all models without waiting for one. A refresh that stops between its rows
+    and its log entry is repeated, and merges keep what is known.
+
+    With ``quiet_seconds`` a refresh waits until so much time has passed since the
+    last one; the batches in between go into one load.
     """
 
-    def refresh(touched: dict[str, int], batch_id: int) -> None:
-        if not touched:
-            return
-        tables = spark.createDataFrame([(t,) for t in touched], "table string")
-        names = lineage.impacted_models(tables, registry)
-        models = registry.join(names, "model_name", "left_semi")
-        landed = read_bronze(spark, bronze_root).filter(F.col("batch") == batch_id)
-        sources = {}
-        for model in models.collect():
-            table = model["table_name"]
-            columns = dict.fromkeys(
-                [*sources.get(table, []), *model["business_keys"], *model["attributes"]]
-            )
-            sources[table] = list(columns)
-        frames = {
-            table: envelope.widen(landed.filter(F.col("table") == table.lower()).select("fields"), columns)
-            for table, columns in sources.items()
-        }
-        load_vault(models, frames, vault_root, f"{batch_id:012d}")
-
-    return refresh
+    LOG = "_loaded"
+
+    def __init__(self, spark: SparkSession, registry: DataFrame, bronze_root: str, vault_root: str, quiet_seconds: float = 0):
+        self.spark, self.registry = spark, registry
+        self.bronze_root, self.vault_root = bronze_root, vault_root
+        self.quiet_seconds, self.last, self.waiting = quiet_seconds, 0.0, set()
+
+    def __call__(self, touched: dict[str, int], batch_id: int) -> None:
+        self.waiting.update(touched)
+        if self.waiting and time.monotonic() - self.last >= self.quiet_seconds:
+            self._refresh(set(self.waiting))
+
+    def flush(self) -> None:
+        """Load whatever is landed and not yet loaded, of all models."""
+        self._refresh({r["table_name"] for r in self.registry.select("table_name").distinct().collect()})
+
+    def _refresh(self, tables: set[str]) -> None:
+        names = lineage.impacted_models(
+            self.spark.createDataFrame([(t,) for t in sorted(tables)], "table string"), self.registry)
+        models = self.registry.join(names, "model_name", "left_semi").collect()
+        loaded = self._loaded()
+        landed: dict[str, set[tuple[str, str, str]]] = {}
+        for model in models:
+            table = model["table_name"].lower()
+            if table not in landed:
+                landed[table] = bronze_batches(self.spark, self.bronze_root, table)
+            pending = landed[table] - loaded.get(model["model_name"], set())
+            if pending:
+                self._load(model, table, pending)
+        self.waiting -= tables
+        self.last = time.monotonic()
+
+    def _load(self, model: Row, table: str, pending: set[tuple[str, str, str]]) -> None:
+        # Batch names, one per landed batch, select the partitions to read.
+        wanted = reduce(lambda a, b: a | b, (
+            (F.col("ingest_date") == F.lit(day).cast("date")) & (F.col("stream") == stream) & (F.col("batch") == int(batch))
+            for day, stream, batch in sorted(pending)))
+        rows = read_bronze(self.spark, self.bronze_root, table).filter(wanted)
+        columns = list(dict.fromkeys([*model["business_keys"], *model["attributes"]]))
+        load_one(envelope.widen(rows.select("fields"), columns), model, self.vault_root, f"stream-{uuid.uuid4().hex}")
+        entries = [(model["model_name"], *batch) for batch in sorted(pending)]
+        log_frame = self.spark.createDataFrame(entries, "model string, day string, stream string, batch string")
+        append_log(log_frame.coalesce(1), f"{self.vault_root}/{self.LOG}")
+
+    def _loaded(self) -> dict[str, set[tuple[str, str, str]]]:
+        path = f"{self.vault_root}/{self.LOG}"
+        out: dict[str, set[tuple[str, str, str]]] = {}
+        if path_exists(self.spark, path):
+            for r in self.spark.read.schema("model string, day string, stream string, batch string").parquet(path).distinct().collect():
+                out.setdefault(r["model"], set()).add((r["day"], r["stream"], r["batch"]))
+        return out
+
+
+def vault_refresher(
+    spark: SparkSession, registry: DataFrame, bronze_root: str, vault_root: str, quiet_seconds: float = 0
+) -> VaultRefresher:
+    """The refresher of a vault; see ``VaultRefresher``."""
+    return VaultRefresher(spark, registry, bronze_root, vault_root, quiet_seconds)

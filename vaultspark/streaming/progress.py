@@ -2,33 +2,32 @@
 
 from __future__ import annotations
 
-from collections import deque
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
+from ..sources.storage import append_log
+
 PROGRESS_SCHEMA = (
     "name string, batch_id bigint, num_input_rows bigint, input_rows_per_second double, "
     "processed_rows_per_second double, trigger_ms bigint, add_batch_ms bigint, state_operators int"
 )
 
 
-def _rate(value: object) -> float:
-    try:
-        return float(value)
-    except (TypeError, ValueError):
-        return -1.0
-
-
 class ProgressRecorder(StreamingQueryListener):
-    """Keeps the last ``keep`` progress reports.
+    """Progress reports of all queries as rows.
 
-    Add it with ``spark.streams.addListener``; ``frame`` gives the reports as a
-    DataFrame to show or to append to the metadata log.
+    Add it with ``spark.streams.addListener``. ``frame`` gives the reports that are
+    not yet stored; ``flush`` appends them to a log, after which they are held no
+    longer. With a ``log`` path, reports are stored by themselves once
+    ``flush_every`` have come together. None is dropped.
     """
 
-    def __init__(self, keep: int = 10_000):
-        self._reports = deque(maxlen=keep)
+    def __init__(self, spark: SparkSession | None = None, log: str | None = None, flush_every: int = 1_000):
+        self._reports: list[tuple] = []
+        self._lock = threading.Lock()
+        self._spark, self._log, self._flush_every = spark, log, flush_every
 
     def onQueryStarted(self, event):
         pass
@@ -36,18 +35,13 @@ class ProgressRecorder(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         took = p.durationMs or {}
-        self._reports.append(
-            (
-                p.name,
-                p.batchId,
-                p.numInputRows,
-                _rate(p.inputRowsPerSecond),
-                _rate(p.processedRowsPerSecond),
-                int(took.get("triggerExecution", 0)),
-                int(took.get("addBatch", 0)),
-                len(p.stateOperators or []),
-            )
-        )
+        report = (p.name, p.batchId, p.numInputRows, p.inputRowsPerSecond, p.processedRowsPerSecond,
+                  took.get("triggerExecution"), took.get("addBatch"), len(p.stateOperators))
+        with self._lock:
+            self._reports.append(report)
+            full = self._log is not None and len(self._reports) >= self._flush_every
+        if full:
+            self.flush(self._spark, self._log)
 
     def onQueryIdle(self, event):
         pass
@@ -56,4 +50,17 @@ class ProgressRecorder(StreamingQueryListener):
         pass
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self._reports), PROGRESS_SCHEMA)
+        with self._lock:
+            reports = list(self._reports)
+        # A rate that could not be measured is not a number; it shows as NULL.
+        return spark.createDataFrame(reports, PROGRESS_SCHEMA).replace(float("nan"), None)
+
+    def flush(self, spark: SparkSession, path: str) -> None:
+        """Append the reports to a log; they are forgotten only once they are stored."""
+        with self._lock:
+            n = len(self._reports)
+            reports = self._reports[:n]
+        if n:
+            append_log(spark.createDataFrame(reports, PROGRESS_SCHEMA).replace(float("nan"), None).coalesce(1), path)
+            with self._lock:
+                del self._reports[:n]
