@@ -4,7 +4,7 @@
 same name to SQL that DuckDB answers from the same Parquet tables.
 """
 
-from . import bronze, capture, evolution, lineage, modelling, vault  # noqa: F401
+from . import bronze, capture, evolution, lineage, modelling, storage, vault  # noqa: F401
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
