@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,17 @@ def prepare(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def release_memory() -> None:
+    """At the end of a task: give what Arrow and the allocator hold back to the system.
+
+    A worker serves many tasks of different operators; what they leave must not add up.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query and, where SQL can express it, its oracle."""
 

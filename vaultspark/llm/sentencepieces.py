@@ -39,11 +39,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, query
+from .common import documents, query, release_memory
 
 MARK = "▁"
-SEGMENTS_KEPT = 400_000
-PAIRS_KEPT = 500_000
+SEGMENTS_KEPT = 250_000
+PARTS_KEPT = 100_000
+PAIRS_KEPT = 300_000
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
 
@@ -108,9 +109,14 @@ class Transducer:
         # Neighbours inside pieces: between other signs nothing is ever merged.
         self.inner = {n[k: k + 2] for n, _ in spelled for k in range(len(n) - 1)}
         self.cut = all(MARK not in n.lstrip(MARK) for n, _ in spelled)
+        # Paths met before, in two generations: what is asked for again moves to the younger one.
         self.segments: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.spelling = [b"" if k in (CONTROL,) else n.encode("utf-8") for n, k in zip(self.names, self.kinds)]
+        own = {i: bytes([b]) for b, i in self.bytes.items()}
+        self.spelling = [b"" if k == CONTROL else own.get(i, n.encode("utf-8")) for i, (n, k) in enumerate(zip(self.names, self.kinds))]
 
     # --- the normaliser
 
@@ -178,32 +184,47 @@ class Transducer:
 
     # --- composition with an input, and its shortest path
 
-    def path(self, signs: str) -> list[str]:
-        """The pieces along the shortest path; a character without a piece stands for itself."""
-        n, ids, longest = len(signs), self.ids, self.longest
-        if self.bpe:
-            known, begins = self.pairs, self.begins
-            live: list[str | None] = [""] + [None] * n  # the piece that ends here on the finite path
-            for start in range(n):
-                before = live[start]
-                if before is None:
-                    continue
-                for end in range(start + 1, n + 1):
-                    spelled = signs[start:end]
+    def _finite_path(self, signs: str) -> list[str]:
+        """The one path of finite weight of a BPE model: depth first, longest arcs first.
+
+        A place from which no arc goes on is dead: only one piece can end there on a finite path.
+        """
+        n, known, begins = len(signs), self.pairs, self.begins
+        out: list[str] = []
+        left: list[list[str]] = []  # arcs not yet tried, by step
+        dead = set()
+        at, before, arcs = 0, "", None
+        while at < n:
+            if arcs is None:
+                arcs = []
+                for end in range(at + 1, n + 1):
+                    spelled = signs[at:end]
                     whole = begins.get(spelled)
+                    if whole or end == at + 1:
+                        arcs.append(spelled)  # a single sign may have no piece: byte fallback
                     if whole is None:
-                        if end == start + 1 and live[end] is None:
-                            live[end] = spelled  # no piece: byte fallback
                         break
-                    if whole and live[end] is None:
-                        ok = known.get((before, spelled))
-                        if ok if ok is not None else self.stable(before, spelled):
-                            live[end] = spelled
-            out, at = [], n
-            while at:
-                out.append(live[at])
-                at -= len(live[at])
-            return out[::-1]
+            while arcs:
+                piece = arcs.pop()
+                if at + len(piece) in dead:
+                    continue
+                ok = known.get((before, piece))
+                if ok if ok is not None else self.stable(before, piece):
+                    out.append(piece)
+                    left.append(arcs)
+                    at, before, arcs = at + len(piece), piece, None
+                    break
+            else:
+                dead.add(at)
+                at -= len(out.pop())
+                before, arcs = out[-1] if out else "", left.pop()
+        return out
+
+    def path(self, signs: str) -> list[str]:
+        """The pieces along the shortest path; a character without a piece stands for itself."""
+        if self.bpe:
+            return self._finite_path(signs)
+        n, ids, longest = len(signs), self.ids, self.longest
         cost, back = [0.0] + [math.inf] * n, [0] * (n + 1)
         worst = min(self.scores) - 10.0
         for end in range(1, n + 1):
@@ -235,37 +256,47 @@ class Transducer:
     def encode_packed(self, text: str) -> bytes:
         signs = self.normal(text)
         parts = _SEGMENTS.findall(signs) if self.cut else [signs] if signs else []
-        known = self.segments
         try:
-            return b"".join(map(known.__getitem__, parts))
+            return b"".join(map(self.segments.__getitem__, parts))
         except KeyError:
             pass
         fresh = set(parts)
-        if len(known) + len(fresh) > SEGMENTS_KEPT:
-            known.clear()
+        if len(self.segments) + len(fresh) > SEGMENTS_KEPT:
+            self.segments, self.older = {}, self.segments
+        known, older = self.segments, self.older
         for part in fresh.difference(known):
-            known[part] = self.written(self.path(part))
+            ids = older.get(part)
+            known[part] = self.segment(part) if ids is None else ids
         return b"".join(map(known.__getitem__, parts))
 
+    def segment(self, signs: str) -> bytes:
+        """Ids of a segment. Between signs that no piece has side by side, it falls into parts of their own."""
+        inner = self.inner
+        cuts = [k for k in range(1, len(signs)) if signs[k - 1: k + 1] not in inner] if self.cut else []
+        if not cuts:
+            return self.written(self.path(signs))
+        return b"".join([self.part(signs[lo:hi]) for lo, hi in zip([0, *cuts], [*cuts, len(signs)])])
+
+    def part(self, signs: str) -> bytes:
+        ids = self.parts.get(signs)
+        if ids is None:
+            ids = self.older_parts.get(signs)
+            if ids is None:
+                ids = self.written(self.path(signs))
+            if len(self.parts) >= PARTS_KEPT:
+                self.parts, self.older_parts = {}, self.parts
+            self.parts[signs] = ids
+        return ids
+
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_packed(text), "<i4").tolist()
 
     # --- the inverse
 
     def decode(self, ids: list[int]) -> str:
-        if self.bytes:
-            spell, kinds, values = self.spelling, self.kinds, self.values()
-            data = b"".join([values[i] if kinds[i] == BYTE else spell[i] for i in ids])
-        else:
-            data = b"".join(map(self.spelling.__getitem__, ids))
-        text = data.decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.spelling.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if self.prefix and text[:1] == " " else text
 
-    def values(self) -> dict[int, bytes]:
-        if not hasattr(self, "_values"):
-            self._values = {i: bytes([b]) for b, i in self.bytes.items()}
-        return self._values
-
 
 _SEGMENTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _LOADED: dict[str, Transducer] = {}
@@ -309,6 +340,7 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids_col: str
             if ids_col:
                 columns.append(pa.array(all_ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *(x for x, _ in added)])
+        release_memory()
 
     return base.mapInArrow(encoded, T.StructType([*base.schema, *(T.StructField(x, t) for x, t in added)]))
 
