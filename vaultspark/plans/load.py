@@ -10,7 +10,7 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.canonical import to_text_frame
@@ -82,22 +82,39 @@ def reload_models(
     return load_vault(wanted, sources, root, load_id, now)
 
 
+def _digest(columns: list[str]) -> list[Column]:
+    """128 bits that stand for a row's values; NULLs are marked, since hashes skip them."""
+    marked = [c for n in columns for c in (F.col(n), F.col(n).isNull())]
+    return [F.xxhash64(F.lit(seed), *marked).alias(f"d{seed}") for seed in (1, 2)]
+
+
 def vault_row_counts(registry: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
     """Rows each model's first load gives, all models in one job.
 
-    Hubs and links read only their key columns; a satellite's hash follows from
-    its other columns and need not be computed to count.
+    The hub and the links of a table share one pass over its key columns, whose
+    distinct combinations they count. Satellites compare digests, so that no text
+    or array is shuffled; their hash follows from the other columns.
     """
+    models = [m for m in registry.collect() if m["table_name"] in sources]
+    key_columns: dict[str, dict[str, None]] = {}
+    for m in models:
+        if m["model_type"] != "sat":
+            key_columns.setdefault(m["table_name"], {}).update(dict.fromkeys(m["business_keys"]))
+    reduced = {t: sources[t].select(*columns).distinct() for t, columns in key_columns.items()}
 
     def one(model: Row) -> DataFrame:
-        columns = dict.fromkeys([*model["business_keys"], *model["attributes"]])
-        rows = sources[model["table_name"]].select(*columns).distinct()
+        table = model["table_name"]
+        if model["model_type"] == "sat":
+            source = sources[table]
+            columns = list(dict.fromkeys([*model["business_keys"], *model["attributes"]]))
+            rows = source.select(*_digest(columns)).distinct()
+        else:
+            rows = reduced[table].select(*model["business_keys"]).distinct()
         return rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(model["model_name"]).alias("model_name"),
             F.lit(model["model_type"]).alias("model_type"),
-            F.lit(model["table_name"]).alias("table_name"),
+            F.lit(table).alias("table_name"),
             "n_rows",
         )
 
-    models = [m for m in registry.collect() if m["table_name"] in sources]
     return reduce(DataFrame.unionByName, [one(m) for m in models])
