@@ -132,3 +132,14 @@ def test_lake_sources(spark, tmp_path):
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
     assert catalog_of(spark, {"t": df}).count() == 3
     assert list_lake_tables(spark, root + "/absent") == []
+
+
+def test_empty_tables_and_null_columns_are_modelled(spark, tmp_path):
+    from vaultspark.sources.lake import lake_catalog, observe_lake
+
+    spark.createDataFrame([], "x_id int, note string").write.parquet(str(tmp_path / "t1.parquet"))
+    spark.createDataFrame([(1, None)], "y_id int, note string").write.parquet(str(tmp_path / "t2.parquet"))
+    models = MD.model_lake(lake_catalog(spark, str(tmp_path)))
+    assert sorted(r.model_name for r in models.collect()) == ["hub_t1", "hub_t2", "sat_t1", "sat_t2"]
+    counts = {(r.table_name, r.column_name): r.n_values for r in observe_lake(spark, str(tmp_path)).collect()}
+    assert counts == {("t1", "x_id"): 0, ("t1", "note"): 0, ("t2", "y_id"): 1, ("t2", "note"): 0}

@@ -106,8 +106,7 @@ def observed_catalog(tables: dict[str, DataFrame]) -> DataFrame:
             f"{quoted(table)}, {i + 1}, {quoted(f.name.lower())}, {quoted(f.dataType.simpleString())}, c{i}"
             for i, f in enumerate(fields)
         )
-        # Footers of an empty table answer NULL.
-        return counts.na.fill(0).selectExpr(
+        return counts.selectExpr(
             f"stack({len(fields)}, {rows}) as (table_name, ordinal, column_name, data_type, n_values)"
         )
 
@@ -145,7 +144,8 @@ def observe_lake(spark: SparkSession, root: str) -> DataFrame:
             raise
         log.warning("files of %s hold no counts, scanning instead", root)
         observed_catalog(read_lake_tables(spark, root)).write.mode("overwrite").parquet(path)
-    return spark.read.schema(OBSERVED_SCHEMA).parquet(path)
+    # Footers of an empty table answer NULL.
+    return spark.read.schema(OBSERVED_SCHEMA).parquet(path).na.fill(0, ["n_values"])
 
 
 def bronze_schema(columns: list[str]) -> T.StructType:
