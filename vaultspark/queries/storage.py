@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import envelope as EV
+from ..plans.capture import capture_job
 from ..plans.load import load_vault
 from ..session import scratch_path
+from ..sources import envelopes as ES
 from ..sources import storage as S
-from .common import T0, CHANGE_COLUMNS, columns_of, consumed, lake, query, registry, sql_hash, sql_iso, sql_text
+from .common import T0, T1_SQL, CHANGE_COLUMNS, columns_of, consumed, lake, query, registry, sql_hash, sql_iso, sql_text
 
 _ORDERS_TEXT = ", ".join(
     f"{sql_iso(c) if c == CHANGE_COLUMNS['orders'] else sql_text('orders', c)} as {c}" for c in columns_of("orders")
@@ -29,6 +31,18 @@ def bronze_landing(spark, sf):
     return EV.widen(S.read_bronze(spark, root, "orders").select("fields"), columns_of("orders"))
 
 
+@query("capture_job", f"select {_ORDERS_TEXT} from orders")
+def capture_published(spark, sf):
+    """Two runs, the second over more rows, then one without news; what was published, read back."""
+    root = scratch_path(spark, "capture")
+    orders = lake(spark, sf, "orders")
+    marks, topic = f"{root}/marks", f"{root}/topic"
+    for rows in (orders.filter(f"o_orderdate < timestamp_ntz{T1_SQL}"), orders, orders):
+        capture_job(spark, {"orders": rows}, CHANGE_COLUMNS, marks, "text", topic)
+    parsed = EV.parse_envelopes(ES.envelope_batch(spark, "text", topic))
+    return EV.parse_payload(parsed, columns_of("orders")).drop("cdc_type", "cdc_modified_at")
+
+
 _SAT = [c for c in columns_of("orders") if not c.endswith("key")]
 
 

@@ -257,6 +257,12 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
     return None
 
 
+def snapshot_version(spark: SparkSession, path: str) -> int:
+    """The highest version written, complete or not; 0 if there is none."""
+    names = [n for n in _children(spark, path) if n.startswith("version=")]
+    return max((int(n.removeprefix("version=")) for n in names), default=0)
+
+
 def append_log(df: DataFrame, path: str) -> None:
     """Append rows to the metadata or lineage log."""
     df.write.mode("append").parquet(path)
