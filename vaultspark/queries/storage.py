@@ -13,7 +13,7 @@ from ..plans.load import load_vault
 from ..session import scratch_path
 from ..sources import envelopes as ES
 from ..sources import storage as S
-from .common import T0, T1_SQL, CHANGE_COLUMNS, columns_of, consumed, lake, query, registry, sql_hash, sql_iso, sql_text
+from .common import T0, CHANGE_COLUMNS, columns_of, consumed, lake, query, registry, sql_hash, sql_iso, sql_text
 
 _ORDERS_TEXT = ", ".join(
     f"{sql_iso(c) if c == CHANGE_COLUMNS['orders'] else sql_text('orders', c)} as {c}" for c in columns_of("orders")
@@ -37,7 +37,7 @@ def capture_published(spark, sf):
     root = scratch_path(spark, "capture")
     orders = lake(spark, sf, "orders")
     marks, topic = f"{root}/marks", f"{root}/topic"
-    for rows in (orders.filter(f"o_orderdate < timestamp_ntz{T1_SQL}"), orders, orders):
+    for rows in (orders.filter("o_orderdate < timestamp_ntz'1998-01-01 00:00:00'"), orders, orders):
         capture_job(spark, {"orders": rows}, CHANGE_COLUMNS, marks, "text", topic)
     parsed = EV.parse_envelopes(ES.envelope_batch(spark, "text", topic))
     return EV.parse_payload(parsed, columns_of("orders")).drop("cdc_type", "cdc_modified_at")
