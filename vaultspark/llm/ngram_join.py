@@ -20,7 +20,8 @@ these are stored.
 3. *Long nodes* first offer every class one partner, the class that shares most
    with others. Once these pairs are verified and components known, a long node
    whose classes all are in one component is pruned whole; the others count the
-   pairs between different components, as short nodes do. Pairs inside a component
+   pairs between different components, as short nodes do, unless the number of
+   nodes that a class shares with any other is already too small. Pairs inside a component
    need no look, so a large group of near copies costs no square of its size, and
    no link between components is lost.
 4. *Verification.* Candidate sets meet in blocks. The sets to compare with one set
@@ -36,6 +37,7 @@ Different sets of one size share a signature with probability 2^-64 a pair.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,58 +55,131 @@ MAX_HEAVY = 1 << 18
 NODE_ROWS = 400_000
 BLOCK_ROWS = 400
 FILTER_BITS = 24
-WORDS_KEPT = 1_000_000
+PIECE_BYTES = 1 << 20
 
 _U = np.uint64
 _K = _U(0x9E3779B97F4A7C15)
+_ANY_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-class _Words(dict):
-    """Hashes of words, remembered within a bound."""
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> _U(27))) * _U(0x94D049BB133111EB)
+    return h ^ (h >> _U(31))
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        value = xxhash.xxh64_intdigest(word)
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        self[word] = value
-        return value
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+_POWERS: list[np.ndarray] = []
 
 
-_HASHES = _Words()
+def _powers() -> list[np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2^64."""
+    if not _POWERS:
+        base = 0x5851F42D4C957F2D
+        for x in (base, pow(base, -1, 1 << 64)):
+            row = np.full(PIECE_BYTES + 1, x, _U)
+            row[0] = 1
+            _POWERS.append(np.multiply.accumulate(row))
+    return _POWERS
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> _U(27))) * _U(0x94D049BB133111EB)
-    return h ^ (h >> _U(31))
+def _words(data: bytes, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the words of at most ``PIECE_BYTES``; no word crosses a border.
 
+    A word's hash is a difference of running sums of its bytes times powers of a base, shifted to the front.
+    """
+    # bytes.lower knows ASCII letters only, as asked.
+    raw = np.frombuffer(data.lower(), np.uint8)
+    inside = ~_SPACE[raw]
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[borders] = True
+    first = inside.copy()
+    first[1:] &= ~inside[:-1] | cut[1:-1]
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | cut[1:-1]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    power, inverse = _powers()
+    total = np.zeros(len(raw) + 1, _U)
+    np.cumsum((raw.astype(_U) + _U(1)) * power[: len(raw)], out=total[1:])
+    return _mix((total[end] - total[start]) * inverse[start] + (end - start).astype(_U) * _K), start
+
+
+def _long_words(data: bytes) -> np.ndarray:
+    """Hashes of the words of a text of any length, piece by piece, cut at white space."""
+    out, at = [], 0
+    while at < len(data):
+        end = min(len(data), at + PIECE_BYTES)
+        if end < len(data):
+            blank = np.flatnonzero(_SPACE[np.frombuffer(data, np.uint8, end - at, at)])
+            if len(blank) == 0:  # one word longer than a piece
+                more = _ANY_SPACE.search(data, end)
+                end = more.start() if more else len(data)
+                h = np.array([len(data[at:end])], _U)
+                for k in range(at, end, PIECE_BYTES):
+                    part, _ = _words(data[k: min(end, k + PIECE_BYTES)], np.array([0]))
+                    h = _mix(h * _K + part)
+                out.append(h)
+                at = end
+                continue
+            end = at + int(blank[-1]) + 1
+        out.append(_words(data[at:end], np.array([0]))[0])
+        at = end
+    return np.concatenate(out) if out else np.empty(0, _U)
 
-def shingle_set(text: bytes | None) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text in UTF-8."""
-    # bytes.lower and bytes.split know ASCII letters and white space only, as asked.
-    words = (text or b"").lower().split()
+
+def _shingled(words: np.ndarray) -> np.ndarray:
+    out = words[: len(words) - WORDS + 1].copy()
+    for k in range(1, WORDS):
+        out = out * _K + words[k: len(words) - WORDS + 1 + k]
+    return _mix(out)
+
+
+def _set_of(words: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """The sorted distinct shingles of one document, given its words and all shingles that start in it."""
     n = len(words)
     if n == 0:
         return np.empty(0, _U)
-    h = np.fromiter(map(_HASHES.__getitem__, words), _U, n)
     if n < WORDS:
         out = np.array([n], _U)
         for k in range(n):
-            out = _mix(out * _K + h[k: k + 1])
+            out = _mix(out * _K + words[k: k + 1])
         return out
-    out = h[: n - WORDS + 1].copy()
-    for k in range(1, WORDS):
-        out = out * _K + h[k: n - WORDS + 1 + k]
-    return np.unique(_mix(out))
+    s = np.sort(shingles)
+    new = np.empty(len(s), bool)
+    new[0] = True
+    np.not_equal(s[1:], s[:-1], out=new[1:])
+    return s[new]
+
+
+def sets_of(data: bytes, offsets: np.ndarray) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of texts in UTF-8 that lie one after the other."""
+    n, k = len(offsets) - 1, 0
+    while k < n:
+        upto = max(k + 1, int(np.searchsorted(offsets, offsets[k] + PIECE_BYTES, "right")) - 1)
+        part = data[offsets[k]: offsets[upto]]
+        if len(part) > PIECE_BYTES:
+            words = _long_words(part)
+            yield _set_of(words, _shingled(words) if len(words) >= WORDS else words)
+        else:
+            borders = offsets[k: upto + 1] - offsets[k]
+            words, places = _words(part, borders)
+            at = np.searchsorted(places, borders)
+            shingles = _shingled(words) if len(words) >= WORDS else words
+            for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
+                yield _set_of(words[lo:hi], shingles[lo: max(lo, hi - WORDS + 1)])
+        k = upto
+
+
+def shingle_set(text: bytes | None) -> np.ndarray:
+    """The set of one text."""
+    text = text or b""
+    return next(sets_of(text, np.array([0, len(text)])))
 
 
 def signature(s: np.ndarray) -> int:
     """The class of a set, as a signed 64-bit number."""
-    with np.errstate(over="ignore"):
-        total = np.add.reduce(_mix(s * _K)) if len(s) else _U(0)
-        value = _mix(np.array([total * _K + _U(len(s))], _U))
+    value = _mix(np.array([len(s)], _U) * _K + (s * s).sum(dtype=_U) if len(s) else np.zeros(1, _U))
     return int(value.view(np.int64)[0])
 
 
@@ -127,9 +202,11 @@ def _ordered(s: np.ndarray, heavy: np.ndarray) -> np.ndarray:
     return np.concatenate([s[~is_heavy], s[is_heavy]]) if is_heavy.any() else s
 
 
-def _sets(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray]]:
-    for text in batch.column(column).cast(pa.binary()):
-        yield shingle_set(text.as_py())
+def _sets(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
+    texts = batch.column(column).cast(pa.binary())
+    _, offsets, data = texts.buffers()
+    places = np.frombuffer(offsets, np.int32)[texts.offset: texts.offset + len(texts) + 1].astype(np.int64)
+    yield from sets_of(memoryview(data)[places[0]: places[-1]].tobytes() if data else b"", places - places[0])
 
 
 def _profile(df: DataFrame, id_type: str) -> DataFrame:
@@ -227,7 +304,10 @@ def _possible(n, m, i, j):
 
 
 def _walk(table: pa.Table) -> pa.Table:
-    """Nodes of one range: counted pairs of short ones (kind 0), entries of long ones (kind 1)."""
+    """Nodes of one range: counted pairs of short ones (kind 0), entries of long ones (kind 1).
+
+    Kind 2 counts the nodes that a class shares with any other: no overlap counted in nodes can exceed it.
+    """
     shingle, cls, n, depth = _unpack(table.column("entries").to_pylist())
     by = np.lexsort((cls, shingle))
     shingle, cls, n, depth = shingle[by], cls[by], n[by], depth[by]
@@ -256,6 +336,10 @@ def _walk(table: pa.Table) -> pa.Table:
     long = many > SHORT
     if long.any():
         out.append((1, shingle[long].view(np.int64), cls[long], n[long], depth[long], many[long].astype(np.int32)))
+    if (many > 1).any():
+        some, of, times = np.unique(cls[many > 1], return_index=True, return_counts=True)
+        zero = np.zeros(len(some), np.int32)
+        out.append((2, some, np.zeros(len(some), np.int64), n[many > 1][of], zero, times.astype(np.int32)))
     if not out:
         return _FOUND_ARROW.empty_table()
     return pa.concat_tables([
@@ -265,9 +349,10 @@ def _walk(table: pa.Table) -> pa.Table:
 
 def _across(table: pa.Table) -> pa.Table:
     """Counted pairs between different components, of long nodes."""
-    s, c, n, d, comp = (table.column(x).to_numpy() for x in ("shingle", "cls", "n", "depth", "component"))
+    s, c, n, d, comp, most = (table.column(x).to_numpy() for x in ("shingle", "cls", "n", "depth", "component", "shared"))
     by = np.lexsort((comp, s))
-    s, c, n, d, comp = s[by], c[by], n[by], d[by], comp[by]
+    s, c, n, d, comp, most = s[by], c[by], n[by], d[by], comp[by], most[by]
+    below = -(-3 * n // 4) - 1  # places under the upper part
     first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.empty(0, int)
     pairs, pending, done = [], 0, []
 
@@ -281,9 +366,11 @@ def _across(table: pa.Table) -> pa.Table:
             i = np.arange(at, min(at + 256, hi))[:, None]
             j = np.arange(at + 1, hi)[None, :]
             ok = (comp[i] != comp[j]) & (j > i)
-            ok &= _possible(n[i], n[j], d[i], d[j])
+            ok &= np.minimum(most[i], most[j]) + np.maximum(below[i], below[j]) >= needed(n[i], n[j])
             x, y = np.nonzero(ok)
             x, y = x + at, y + at + 1
+            ok = _possible(n[x], n[y], d[x], d[y])
+            x, y = x[ok], y[ok]
             pairs.append((c[x], c[y], n[x], n[y]))
             pending += len(x)
             if pending > 2_000_000:
@@ -432,7 +519,8 @@ def classes_and_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = long.join(components.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     mixed = placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    rest = kept(placed.join(mixed.select("shingle"), "shingle"), "ngram-rest")
+    shared = found.where("kind = 2").groupBy(F.col("a").alias("cls")).agg(F.sum("c").cast("int").alias("shared"))
+    rest = kept(placed.join(mixed.select("shingle"), "shingle").join(shared, "cls"), "ngram-rest")
     n_rest = rest.count()
     if n_rest == 0:
         return docs, links
