@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, query, read_columns
+from .common import documents, query, read_columns, release_memory
 
 Q = 8
 ERRORS = 0.1
@@ -287,6 +287,7 @@ def drop_contaminated(df: DataFrame, items: DataFrame, text_col: str = "text",
                 for number, *_ in matches(shipped.value, [t.as_py() or "" for t in batch.column(at)]):
                     keep[number] = False
                 yield batch.filter(pa.array(keep))
+            release_memory()
 
         df = df.mapInArrow(clean, df.schema)
     return df

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, query, read_columns
+from .common import documents, query, read_columns, release_memory
 
 BUCKETS = 1 << 18
 MAX_ROWS = 6_000
@@ -40,7 +40,7 @@ FACTORS = 8
 PREFIXES = (4, 5, 6)
 EPOCHS = 30
 THRESHOLD = 0.7
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -188,6 +188,8 @@ def score_texts(df: DataFrame, model: Model, text_col: str = "text", score_col:
         for batch in batches:
             scores = pa.array([machine.score(t.as_py() or "") for t in batch.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, score_col])
+        machine.words.clear()
+        release_memory()
 
     return df.mapInArrow(scored, T.StructType([*df.schema, T.StructField(score_col, T.DoubleType())]))
 
