@@ -17,13 +17,16 @@ these are stored.
 2. *Short nodes* (up to ``SHORT`` classes) count the overlap of every pair below
    them. A pair whose size, depth and remaining length cannot reach the overlap it
    needs is pruned; so is one whose counted overlap is too small for what is left.
-3. *Long nodes* first offer every class one partner, the class that shares most
-   with others. Once these pairs are verified and components known, a long node
-   whose classes all are in one component is pruned whole; the others count the
-   pairs between different components, as short nodes do, unless the number of
-   nodes that a class shares with any other is already too small. Pairs inside a component
-   need no look, so a large group of near copies costs no square of its size, and
-   no link between components is lost.
+3. Every class is first offered one partner of short nodes, the one with the largest
+   counted overlap, and one of *long nodes*, the one that shares most with others.
+   Once these pairs are verified and components known, short nodes give the pairs
+   between different components, and a long node whose classes all are in one
+   component is pruned whole. The others give the pairs between different
+   components, unless the number of nodes that a class shares with any other is
+   already too small, or their outlines (numbers of shingles in 1024 parts of the
+   hash range) cannot have the overlap in common. Pairs inside a component need no
+   look, so a large group of near copies costs no square of its size, and no link
+   between components is lost.
 4. *Verification.* Candidate sets meet in blocks. The sets to compare with one set
    form a trie: in sorted order each shares a path with the one before, whose
    partial overlap is kept, and a subtree is left when the remaining length cannot
@@ -38,14 +41,14 @@ Different sets of one size share a signature with probability 2^-64 a pair.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, kept, query
+from .common import documents, kept, query, release_memory
 from .graphs import connected_components
 
 WORDS = 5
@@ -55,6 +58,7 @@ MAX_HEAVY = 1 << 18
 NODE_ROWS = 400_000
 BLOCK_ROWS = 400
 FILTER_BITS = 24
+OUTLINE_BITS = 10
 PIECE_BYTES = 1 << 20
 
 _U = np.uint64
@@ -235,6 +239,7 @@ def _profile(df: DataFrame, id_type: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(k, id_arrow), pa.array(shingles[often].view(np.int64)), pa.nulls(k, pa.int32()),
                  pa.array(times[often].astype(np.int32))], names=names)
+        release_memory()
 
     id_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
     return df.mapInArrow(profiled, f"id {id_type}, cls long, n int, times int")
@@ -269,6 +274,7 @@ def _nodes(texts: DataFrame, heavy: np.ndarray, ranges: int) -> DataFrame:
                 keys.append(int(part[at[0]]))
                 blobs.append(shingle[at].tobytes() + cls[at].tobytes() + n[at].tobytes() + depth[at].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=["range", "entries"])
+        release_memory()
 
     return texts.mapInArrow(packed, "range long, entries binary")
 
@@ -347,11 +353,27 @@ def _walk(table: pa.Table) -> pa.Table:
         for kind, *cols in out])
 
 
-def _across(table: pa.Table) -> pa.Table:
-    """Counted pairs between different components, of long nodes."""
+def _outline(s: np.ndarray) -> np.ndarray:
+    """How many shingles of a set fall to each of 1024 parts of the hash range; 255 stands for any number."""
+    return np.minimum(np.bincount((s >> _U(64 - OUTLINE_BITS)).astype(np.int64), minlength=1 << OUTLINE_BITS), 255).astype(np.uint8)
+
+
+def _fits(x: np.ndarray, y: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Can pairs of outlines (rows) reach the overlap they need? No part can share more than the smaller count."""
+    least = np.minimum(x, y)
+    return (least.sum(1, dtype=np.int64) >= need) | (least == 255).any(1)
+
+
+def _across(table: pa.Table, outlines: pa.Table) -> pa.Table:
+    """Pairs between different components that meet in long nodes and whose outlines leave enough overlap."""
+    if table.num_rows == 0:
+        return _FOUND_ARROW.empty_table()
     s, c, n, d, comp, most = (table.column(x).to_numpy() for x in ("shingle", "cls", "n", "depth", "component", "shared"))
+    known, at = np.unique(outlines.column("name").to_numpy(), return_index=True)
+    shape = np.stack([np.frombuffer(x, np.uint8) for x in outlines.column("outline").take(at).to_pylist()])
     by = np.lexsort((comp, s))
     s, c, n, d, comp, most = s[by], c[by], n[by], d[by], comp[by], most[by]
+    row = np.searchsorted(known, c)
     below = -(-3 * n // 4) - 1  # places under the upper part
     first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.empty(0, int)
     pairs, pending, done = [], 0, []
@@ -371,8 +393,12 @@ def _across(table: pa.Table) -> pa.Table:
             x, y = x + at, y + at + 1
             ok = _possible(n[x], n[y], d[x], d[y])
             x, y = x[ok], y[ok]
-            pairs.append((c[x], c[y], n[x], n[y]))
-            pending += len(x)
+            for part in range(0, len(x), 4096):  # outlines of a few thousand pairs at a time
+                u, v = x[part: part + 4096], y[part: part + 4096]
+                ok = _fits(shape[row[u]], shape[row[v]], needed(n[u], n[v]))
+                u, v = u[ok], v[ok]
+                pairs.append((c[u], c[v], n[u], n[v]))
+                pending += len(u)
             if pending > 2_000_000:
                 gather()
                 pending = 0
@@ -444,6 +470,25 @@ def _filter_of(classes: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
+def _chosen(texts: DataFrame, classes: DataFrame, made: Callable[[np.ndarray], bytes], name: str) -> DataFrame:
+    """``cls`` and what ``made`` gives for its set, for classes of a table and perhaps some more, once each."""
+    bits = texts.sparkSession.sparkContext.broadcast(np.packbits(_filter_of(classes)))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(bits.value).astype(bool)
+        for batch in batches:
+            out = {}
+            for s in _sets(batch, 0):
+                c = signature(s)
+                if wanted[c & ((1 << FILTER_BITS) - 1)] and c not in out:
+                    out[c] = made(s)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], names=["cls", name])
+        release_memory()
+
+    return texts.mapInArrow(chosen, f"cls long, `{name}` binary").dropDuplicates(["cls"])
+
+
 def _verify(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links among candidate pairs ``a, b``."""
     pairs = kept(pairs.select("a", "b"), "ngram-pairs")
@@ -458,20 +503,7 @@ def _verify(texts: DataFrame, pairs: DataFrame) -> DataFrame:
         .withColumn("block", spread("y", "copy"))
     )
     members = kept(members, "ngram-members")
-    bits = texts.sparkSession.sparkContext.broadcast(np.packbits(_filter_of(members)))
-
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(bits.value).astype(bool)
-        for batch in batches:
-            out = {}
-            for s in _sets(batch, 0):
-                c = signature(s)
-                if wanted[c & ((1 << FILTER_BITS) - 1)]:
-                    out[c] = s.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], names=["cls", "shingles"])
-
-    sets = texts.mapInArrow(chosen, "cls long, shingles binary").dropDuplicates(["cls"])
+    sets = _chosen(texts, members, lambda s: s.tobytes(), "shingles")
     return sets.join(members, "cls").groupBy("block").applyInArrow(_verify_block, "a long, b long")
 
 
@@ -500,22 +532,40 @@ def classes_and_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     long = found.where("kind = 1").select(
         F.col("a").alias("shingle"), F.col("b").alias("cls"), F.col("na").alias("n"), F.col("nb").alias("depth"), F.col("c").alias("length"))
 
-    # One partner for every class of long nodes: the one that most others share with.
+    # Every class is first offered one partner: of those it meets in short nodes the one with the
+    # largest counted overlap, in long nodes the one that most others share with.
+    plausible = kept(_plausible(short), "ngram-plausible")
+    meets = plausible.select(F.col("a").alias("cls"), F.col("b").alias("partner"), "c").union(plausible.select("b", "a", "c"))
     fame = long.groupBy("cls").agg(F.sum("length").alias("fame"))
-    famous = long.join(fame, "cls")
-    partner = famous.groupBy("shingle").agg(F.max(F.struct("fame", "cls", "n")).alias("p"))
-    offers = (
+    partner = long.join(fame, "cls").groupBy("shingle").agg(F.max(F.struct("fame", "cls", "n")).alias("p"))
+    famous = (
         long.join(partner, "shingle").where("cls <> p.cls and 4 * least(n, p.n) >= 3 * greatest(n, p.n)")
         .groupBy("cls", F.col("p.cls").alias("partner")).agg(F.count("*").alias("c"))
-        .groupBy("cls").agg(F.max(F.struct("c", "partner")).alias("best"))
-        .select(F.least("cls", "best.partner").alias("a"), F.greatest("cls", "best.partner").alias("b"))
     )
-    first = kept(_plausible(short).select("a", "b").union(offers).distinct(), "ngram-first")
+    offers = [
+        x.groupBy("cls").agg(F.max(F.struct("c", "partner")).alias("best"))
+        .select(F.least("cls", "best.partner").alias("a"), F.greatest("cls", "best.partner").alias("b"))
+        for x in (meets, famous)
+    ]
+    first = kept(offers[0].union(offers[1]).distinct(), "ngram-first")
     links = kept(_verify(texts, first), "ngram-links")
 
-    if long.isEmpty():
+    # What is left are pairs between different components.
+    components = kept(connected_components(links), "ngram-components")
+    ends = [components.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b")]
+    second = plausible.join(ends[0], "a", "left").join(ends[1], "b", "left").where(
+        "coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
+    across = _long_pairs(texts, found, long, components)
+    if across is not None:
+        second = second.union(across)
+    second = kept(second.distinct().join(first, ["a", "b"], "left_anti"), "ngram-second")
+    if second.isEmpty():
         return docs, links
-    components = connected_components(links)
+    return docs, links.union(kept(_verify(texts, second), "ngram-links"))
+
+
+def _long_pairs(texts: DataFrame, found: DataFrame, long: DataFrame, components: DataFrame) -> DataFrame | None:
+    """Pairs between different components that meet in long nodes; None if no long node has several."""
     placed = long.join(components.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     mixed = placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
@@ -523,15 +573,13 @@ def classes_and_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = kept(placed.join(mixed.select("shingle"), "shingle").join(shared, "cls"), "ngram-rest")
     n_rest = rest.count()
     if n_rest == 0:
-        return docs, links
-    across = kept(
-        rest.withColumn("range", F.pmod(F.xxhash64("shingle"), F.lit(max(1, n_rest // 20_000))))
-        .groupBy("range").applyInArrow(_across, _FOUND), "ngram-across").select("a", "b", "na", "nb", "c")
-    # The overlap of a pair counts in long and short nodes alike.
-    wanted = across.select("a", "b").distinct()
-    total = across.union(short.join(wanted, ["a", "b"], "left_semi"))
-    second = _plausible(total).join(first, ["a", "b"], "left_anti")
-    return docs, links.union(kept(_verify(texts, second), "ngram-links"))
+        return None
+    ranged = rest.withColumn("range", F.pmod(F.xxhash64("shingle"), F.lit(max(1, n_rest // 20_000))))
+    outlines = kept(_chosen(texts, rest.select("cls").distinct(), lambda s: _outline(s).tobytes(), "outline"), "ngram-outlines")
+    shapes = ranged.select("range", "cls").distinct().join(outlines, "cls").select(
+        F.col("range").alias("part"), F.col("cls").alias("name"), "outline")
+    across = ranged.groupBy("range").cogroup(shapes.groupBy("part")).applyInArrow(_across, _FOUND)
+    return kept(across, "ngram-across").select("a", "b")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
