@@ -109,7 +109,11 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
         F.concat(F.lit("payload-bytes: "), F.col("n_bytes"), F.lit(_END)))
     # One line of output per capture: its three records, each closed by two line ends.
     records = out.select(F.concat_ws(_END * 2, request, response, metadata).alias("value"))
-    records.write.option("lineSep", _END * 2).option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS).text(path)
+    (
+        records.write.option("lineSep", _END * 2).option("maxRecordsPerFile", FILE_ROWS)
+        .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+        .text(path)
+    )
 
 
 RECORD = ("record_id string, type string, concurrent_to array<string>, target string, date string, page_id string, "
