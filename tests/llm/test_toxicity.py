@@ -58,3 +58,23 @@ def test_nulls_repeats_clashes_and_one_label(spark, make_tables):
     none = QUERIES["op10_toxicity"](spark, make_tables(documents=[(1, "a")])).collect()
     assert none[0].predicted == 0
     assert QUERIES["op10_toxicity"](spark, make_tables()).collect() == []
+
+
+def test_the_cap_of_the_sample_does_not_move_scores(spark, make_tables):
+    """Labels one to nine and noisy words: scores of a cut sample (one to one) keep the rate of the table."""
+    rng = random.Random(3)
+    docs, labels = [], []
+    for k in range(4000):
+        bad = int(rng.random() < 0.1)
+        parts = rng.sample("abcdefgh", 4) + ["nitwit"] * (rng.random() < (0.6, 0.1)[1 - bad]) + ["meadow"] * (rng.random() < (0.2, 0.6)[1 - bad])
+        docs.append((k, " ".join(parts)))
+        labels.append((k, 1, bad))
+    folder = make_tables(documents=docs, labels=labels)
+    tables = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    rate = sum(r[2] for r in labels) / len(labels)
+    whole, cut = (tx.learn(*tables, max_rows=n) for n in (4000, 200))
+    for model in (whole, cut):
+        assert abs(sum(model.score(t) for _, t in docs) / len(docs) - rate) < 0.05
+    for text in ("a b nitwit", "c d meadow", "nitwit meadow", "e f"):
+        a, b = (math.log(s / (1 - s)) for s in (whole.score(text), cut.score(text)))
+        assert abs(a - b) < 1

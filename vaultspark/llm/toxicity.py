@@ -9,7 +9,9 @@ Learning reads a bounded sample: of the labelled rows that are not held out, at
 most ``MAX_ROWS`` of either label, those whose id hashes lowest. Whole texts of
 them become sets of bucket numbers in tasks; only those sets reach the driver,
 which keeps the ``MAX_TERMS`` buckets that tell the labels apart best and trains
-on them. Scoring reads every whole text, in tasks, with the model (bounded by
+on them. Where a label is cut, the sample has it at another rate than the tables;
+the intercept is then set back by the log of the labels' shares, so that a score
+means the same at every size. Scoring reads every whole text, in tasks, with the model (bounded by
 these parameters) as a broadcast value.
 
 Inputs of a score are the text and nothing else. Defined cases: a null text
@@ -97,8 +99,8 @@ def _constant(rate: float) -> Model:
                  np.zeros(0, np.float32), np.zeros((0, FACTORS), np.float32))
 
 
-def train(sets: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
-    """Fit to sets of buckets. Scores hold for labels as frequent as in this sample."""
+def train(sets: list[np.ndarray], labels: np.ndarray, odds: float = 1.0, seed: int = 7) -> Model:
+    """Fit to sets of buckets; ``odds`` is how many times the real odds of label 1 are those of this sample."""
     n, n_pos = len(labels), int(labels.sum())
     if n_pos in (0, n):
         return _constant(n_pos / n if n else 0.0)
@@ -142,7 +144,7 @@ def train(sets: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
             bias -= 0.2 * gb / math.sqrt(sum_b)
             weight -= 0.2 * gw / np.sqrt(sum_w)
             factor -= 0.05 * gv / np.sqrt(sum_v)
-    return Model(place, bias, weight.astype(np.float32), factor.astype(np.float32))
+    return Model(place, bias + math.log(odds), weight.astype(np.float32), factor.astype(np.float32))
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -175,7 +177,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = texts.select(F.col("id").cast("string").alias("id"), "y", "text").mapInArrow(
         hashed, "id string, y int, terms binary")
     rows = sorted(found.collect(), key=lambda r: (r["id"], bytes(r["terms"])))
-    return train([np.frombuffer(r["terms"], np.int32) for r in rows], np.array([r["y"] for r in rows], int))
+    odds = share.get(0, 1.0) / share.get(1, 1.0)
+    return train([np.frombuffer(r["terms"], np.int32) for r in rows], np.array([r["y"] for r in rows], int), odds)
 
 
 def score_texts(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
