@@ -65,3 +65,25 @@ def test_no_python_on_the_way_and_empty_table(spark, make_tables):
     frame = QUERIES["op8_fingerprints"](spark, make_tables())
     assert frame.collect() == []
     assert not re.search("Python|Arrow|Pandas", frame._jdf.queryExecution().executedPlan().toString())
+
+
+def test_short_texts_and_unequal_lengths(spark):
+    """Exact up to 127 shingles, close above, also where lengths differ and for merged parts."""
+    words = lambda k, n: [f"w{k}x{j}" for j in range(n)]
+    pairs = []
+    for k, n in enumerate([1, 3, 5, 6, 9, 12, 20, 30, 50, 80, 100, 125, 140, 300, 900, 1500] * 4):
+        a = words(k, n)
+        pairs += [(" ".join(a), " ".join(a[:-1] + ["last"])), (" ".join(a), " ".join(a + words(-k - 1, 2 * n)))]
+    got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", fp.sketch(F.col("a")).alias("x"), fp.sketch(F.col("b")).alias("y")).select(
+        "a", "b", fp.likeness(F.col("x"), F.col("y")).alias("l"), fp.containment(F.col("x"), F.col("y")).alias("c")).collect()
+    for r in got:
+        a, b = shingles(r.a), shingles(r.b)
+        off = abs(r.l - jaccard(a, b))
+        assert off < (1e-9 if len(a | b) < 128 else 0.2) and abs(r.c - len(a & b) / len(a)) < (1e-9 if len(b) < 128 else 0.3)
+    # A short part has all of its hashes, a long one only the low ones: merged, both are cut alike.
+    long, short = words(0, 3000), words(1, 60)
+    frame = spark.createDataFrame([("g", " ".join(long)), ("g", " ".join(short))], "k string, text string")
+    merged = sorted(r["hash"] for r in fp.merge_sketches(frame.select("k", fp.sketch(F.col("text")).alias("sketch")), "k").collect())
+    one = spark.createDataFrame([(merged, " ".join(long), " ".join(short))], "m array<long>, a string, b string").select(
+        fp.containment(fp.sketch(F.col("a")), F.col("m")), fp.likeness(fp.sketch(F.col("a")), F.col("m"))).first()
+    assert one[0] == 1.0 and abs(one[1] - 2996 / 3052) < 0.05
