@@ -28,6 +28,12 @@ def test_copies_nulls_and_repeats(spark, make_tables):
     assert all(r.n_requests == r.n_metadata == 1 for r in got.values())
 
 
+def test_repeated_rows_equal_oracle(spark, make_tables, oracle):
+    folder = make_tables(pages=[(1, "http://a", BIG)] * 3 + [(2, "u", BIG)] * 2 + [(3, "u", "short")] * 2 + [(4, "u", None), (5, "u", BIG)])
+    got = rows(QUERIES["op1_warc"](spark, folder))
+    assert len(got[1]) == 9 and got == oracle(ORACLES["op1_warc"], folder)
+
+
 def test_empty_table(spark, make_tables):
     assert QUERIES["op1_warc"](spark, make_tables()).collect() == []
 

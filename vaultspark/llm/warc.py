@@ -20,7 +20,7 @@ that depth; deeper chains raise an error).
 
 Defined cases: a null payload counts as empty; a null url writes no target; a
 null id sorts last and is written as such; rows equal in id, url and payload are
-one capture; requests or metadata without a response become a capture of their
+captures of their own, numbered, and of one kind; requests or metadata without a response become a capture of their
 own, without one; an empty table gives no captures.
 """
 
@@ -67,8 +67,22 @@ def _plain(value: Column) -> Column:
     return F.regexp_replace(value, "[\\r\\n]+", " ")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with ``name``: the seed, and a number behind it for all but one of equal seeds."""
+    repeated = kept(rows.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "warc-repeated")
+    if repeated.isEmpty():
+        return rows.withColumn("name", F.col("seed"))
+    # Numbers are stored before they are used, so a task that is run again finds the same.
+    copies = kept(rows.join(repeated, "seed", "left_semi").withColumn("number", F.monotonically_increasing_id()), "warc-copies")
+    least = copies.groupBy("seed").agg(F.min("number").alias("least"))
+    named = copies.join(least, "seed").withColumn(
+        "name", F.when(F.col("number") == F.col("least"), F.col("seed")).otherwise(F.concat_ws("|", "seed", "number")))
+    return rows.join(repeated, "seed", "left_anti").withColumn("name", F.col("seed")).unionByName(
+        named.drop("number", "least"))
+
+
 def choose_kinds(pages: DataFrame) -> DataFrame:
-    """``seed, id, digest, n_bytes`` to ``seed, first_seed`` of the revisits; the seed names a capture."""
+    """``seed, id, digest, n_bytes`` to ``seed, first_seed`` of the revisits; equal rows share a seed."""
     large = pages.where(F.col("n_bytes") >= LEAST_BYTES).select("seed", "id", "digest")
     firsts = (
         large.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull(), "id", "seed")).alias("first"), F.count("*").alias("n"))
@@ -86,10 +100,10 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     rows = rows.withColumn("seed", F.concat_ws(
         "|", F.coalesce(F.col("id").cast("string"), F.lit("-")), F.md5(F.coalesce("url", F.lit("\u0000"))), "digest"))
     again = choose_kinds(rows.select("seed", "id", "digest", "n_bytes"))
-    out = rows.join(again, "seed", "left").withColumn("revisit", F.col("first_seed").isNotNull())
+    out = _numbered(rows).join(again, "seed", "left").withColumn("revisit", F.col("first_seed").isNotNull())
     url = _plain(F.col("url"))
     target, date = _line("WARC-Target-URI", url), _line("WARC-Date", DATE)
-    main = _uuid("response", F.col("seed"))
+    main = _uuid("response", F.col("name"))
     digest = _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest")))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("n_bytes"), F.lit(_END * 2))
@@ -101,11 +115,11 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
         F.when(F.col("revisit"), http).otherwise(F.concat(http, F.col("payload"))))
     get = F.concat(F.lit("GET "), F.coalesce(url, F.lit("/")), F.lit(" HTTP/1.1\r\nUser-Agent: archiver\r\n\r\n"))
     request = _record(
-        [F.lit("WARC-Type: request"), _line("WARC-Record-ID", _uuid("request", F.col("seed"))), date, target,
+        [F.lit("WARC-Type: request"), _line("WARC-Record-ID", _uuid("request", F.col("name"))), date, target,
          _line("WARC-Concurrent-To", main), F.lit("Content-Type: application/http; msgtype=request")], get)
     metadata = _record(
-        [F.lit("WARC-Type: metadata"), _line("WARC-Record-ID", _uuid("metadata", F.col("seed"))), date, target,
-         _line("WARC-Concurrent-To", _uuid("request", F.col("seed"))), F.lit("Content-Type: application/warc-fields")],
+        [F.lit("WARC-Type: metadata"), _line("WARC-Record-ID", _uuid("metadata", F.col("name"))), date, target,
+         _line("WARC-Concurrent-To", _uuid("request", F.col("name"))), F.lit("Content-Type: application/warc-fields")],
         F.concat(F.lit("payload-bytes: "), F.col("n_bytes"), F.lit(_END)))
     # One line of output per capture: its three records, each closed by two line ends.
     records = out.select(F.concat_ws(_END * 2, request, response, metadata).alias("value"))
