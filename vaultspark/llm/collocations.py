@@ -1,19 +1,20 @@
 """Operator 13, phrase collocation mining: double-array tries over all text positions.
 
 Candidates are found level by level, Apriori-safe: a phrase of k words is proposed only
-where its first and its last k - 1 words were proposed before. Tasks count proposed
-phrases by a 64-bit hash, Spark adds the counts up, and hashes of ``LEAST`` or more go
-on as bits of a table of fixed size, the only thing that proposals broadcast. A
-collision, of hashes or of bits, can only propose too much. Then the proposed phrases
-are spelled out, dealt over shards of at most about ``SHARD_PHRASES`` phrases by hash
-(so no common first word fills one), and each shard's phrases become a double-array
-trie, built in a task and broadcast, whose size the shard bounds. For each shard numpy
-moves the states of all text positions at once, word after word, counts the accepting
-states with bincount, and Spark sums the tasks' counts. These counts are exact, and
-scores, containment and ranks are plain joins and windows on them.
-
-The text is read six times where one shard holds all proposed phrases, and once more for
-every further one. Words are cut out of whole batches at byte level by numpy; a text
+where its first and its last k - 1 words were proposed before. Tasks count proposals as
+pairs of numbers (hash of the first k - 1 words, hash of the last word), Spark adds the
+counts up, and pairs of ``LEAST`` or more become phrases by joins with the shorter
+phrases and the words. What the next level may propose is broadcast as a table of bits
+of fixed size. A collision, of hashes or of bits, can only propose too much. The
+proposed phrases are dealt over shards of at most about ``SHARD_PHRASES`` phrases by
+hash (so no common first word fills one), and each shard's phrases become a
+double-array trie, built in a task and broadcast, whose size the shard bounds. For each
+shard numpy moves the states of all text positions at once, word after word, counts the
+accepting states with bincount, and Spark sums the tasks' counts. These counts are
+exact; scores, containment and ranks are plain joins and windows on them.
+
+The text is read five times where one shard holds all proposed phrases, and once more
+for every further one. Words are cut out of whole batches at byte level by numpy; a text
 of any length is worked through in chunks of ``CHUNK`` bytes that carry over the last
 three words. Partial counts leave a task whenever they pass ``FLUSH`` entries.
 
@@ -31,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,7 +44,7 @@ LEAST = 30
 CONTAINED = 80
 TOP = 2000
 BITS = 26
-SHARD_PHRASES = 1 << 18
+SHARD_PHRASES = 1 << 20
 CHUNK = 1 << 22
 FLUSH = 1 << 20
 WHITE, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
@@ -90,7 +92,6 @@ def chunks(batch: pa.RecordBatch, size: int = CHUNK) -> Iterator[Chunk]:
         starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         pieces = np.cumsum((kind == 2) | begins[:-1])
         lengths = np.concatenate([[len(w) for w in tail], ends - starts]).astype(np.int64)
-        doc = np.searchsorted(offsets, np.concatenate([np.full(len(tail), low), starts + low]), "right") - 1
         piece = np.concatenate([np.zeros(len(tail), np.int64), pieces[starts]])
         if len(lengths):
             # Chunks end where words end, so 32-bit offsets hold unless one word is longer than 2 GB.
@@ -99,7 +100,10 @@ def chunks(batch: pa.RecordBatch, size: int = CHUNK) -> Iterator[Chunk]:
             encoded = pa.Array.from_buffers(
                 pa.binary(), len(lengths), [None, pa.py_buffer(ranges), pa.py_buffer(letters)]).dictionary_encode()
             codes = encoded.indices.to_numpy()
-            yield Chunk(codes, encoded.dictionary, piece, langs[doc], len(tail))
+            here = np.arange(np.searchsorted(offsets, low, "right") - 1, np.searchsorted(offsets, high))
+            held = np.diff(np.searchsorted(starts, np.append(offsets[here], high) - low))
+            held[0] += len(tail)
+            yield Chunk(codes, encoded.dictionary, piece, np.repeat(langs[here], held), len(tail))
             open_words = codes[piece == pieces[-1]][-(LONGEST - 1):]
             tail = encoded.dictionary.take(pa.array(open_words)).to_pylist()
         low = high
@@ -120,17 +124,24 @@ def _cut(data: np.ndarray, offsets: np.ndarray, at: int) -> int:
     return text_end
 
 
-def phrase_hashes(chunk: Chunk, lang_hashes: np.ndarray) -> list[np.ndarray]:
-    """For k from 1 to ``LONGEST`` the hashes of the k words from each position on."""
-    words = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in chunk.words.to_pylist()), np.uint64, len(chunk.words))
-    word = words[chunk.codes]
-    out, h = [], lang_hashes[chunk.lang]
-    for k in range(1, min(LONGEST, len(word)) + 1):
-        h = (h[:len(word) - k + 1] ^ word[k - 1:]) * _STEP
-        h = (h ^ (h >> np.uint64(31))) * _MIX
-        out.append(h ^ (h >> np.uint64(29)))
-        h = out[-1]
-    return out
+def _mixed(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a phrase from that of its words but the last (or of its language) and that of the last."""
+    h = (before ^ word) * _STEP
+    h = (h ^ (h >> np.uint64(31))) * _MIX
+    return h ^ (h >> np.uint64(29))
+
+
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
+
+
+def phrase_hashes(chunk: Chunk, lang_hashes: np.ndarray, longest: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Hash of each word, and for k from 0 to ``longest`` those of the k words from each position on."""
+    word = _word_hashes(chunk.words)[chunk.codes]
+    out = [lang_hashes[chunk.lang]]
+    for k in range(1, min(longest, len(word)) + 1):
+        out.append(_mixed(out[-1][:len(word) - k + 1], word[k - 1:]))
+    return word, out
 
 
 def _in(table: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -154,93 +165,89 @@ def _coded(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, list[str], np.ndarray
     return pa.RecordBatch.from_arrays([encoded.indices, batch["text"]], names=["lang", "text"]), names, hashes
 
 
-def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    joined, order = np.unique(np.concatenate(keys), return_inverse=True)
-    return joined, np.bincount(order, weights=np.concatenate(counts)).astype(np.int64)
+def _summed(h: np.ndarray, c: np.ndarray | None, *columns: np.ndarray) -> list[np.ndarray]:
+    """Rows of equal ``h`` as one, with the sum of ``c`` (or their number) and one of the others."""
+    order = np.argsort(h)
+    ordered = h[order]
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(h) else order
+    if c is None:
+        sums = np.diff(np.append(starts, len(h)))
+    else:
+        sums = np.add.reduceat(c[order], starts) if len(h) else c
+    return [ordered[starts], sums, *(x[order[starts]] for x in columns)]
 
 
-def _proposals(texts: DataFrame, k: int, before: np.ndarray | None) -> DataFrame:
-    """``h, c, lang``: counts of proposed phrases by hash; with k = 1 also the words of each language (``h`` null)."""
-    shared = texts.sparkSession.sparkContext.broadcast(before) if before is not None else None
+def _words(texts: DataFrame) -> DataFrame:
+    """``lang, phrase, h, w, c``: partial counts of single words, with the hashes of phrase and word."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            coded, names, lang_hashes = _coded(batch)
+            for chunk in chunks(coded):
+                both = chunk.lang[chunk.fresh:].astype(np.int64) * len(chunk.words) + chunk.codes[chunk.fresh:]
+                found, c = np.unique(both, return_counts=True)
+                lang, code = np.divmod(found, len(chunk.words))
+                w = _word_hashes(chunk.words)[code]
+                yield pa.RecordBatch.from_pydict({
+                    "lang": pa.array(names, pa.string()).take(pa.array(lang)),
+                    "phrase": chunk.words.take(pa.array(code)).cast(pa.string()),
+                    "h": _mixed(lang_hashes[lang], w).view(np.int64), "w": w.view(np.int64), "c": c})
+        release_memory()
+
+    return texts.mapInArrow(count, "lang string, phrase string, h long, w long, c long")
+
+
+def _longer(texts: DataFrame, k: int, before: np.ndarray) -> DataFrame:
+    """``h, w, c``: partial counts of proposed phrases of ``k`` words by the hashes of their first words and their last."""
+    shared = texts.sparkSession.sparkContext.broadcast(before)
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, held = [], [], 0
-        totals: dict[str, int] = {}
+        held: list[list[np.ndarray]] = []
         for batch in batches:
-            coded, names, lang_hashes = _coded(batch)
+            coded, _, lang_hashes = _coded(batch)
             for chunk in chunks(coded):
-                hashes = phrase_hashes(chunk, lang_hashes)
-                if len(hashes) < k:
+                if len(chunk.codes) < k:
                     continue
-                ok = _windows(chunk, k)
-                if k == 1:
-                    for code, n in enumerate(np.bincount(chunk.lang[chunk.fresh:], minlength=len(names)).tolist()):
-                        totals[names[code]] = totals.get(names[code], 0) + n
-                else:
-                    shorter = _in(shared.value, hashes[k - 2])
-                    ok &= shorter[:-1] & shorter[1:]
-                found, n = np.unique(hashes[k - 1][ok], return_counts=True)
-                keys.append(found)
-                counts.append(n)
-                held += len(found)
-                if held > FLUSH:
-                    merged, sums = _added(keys, counts)
-                    keys, counts, held = [merged], [sums], len(merged)
-                    if held > FLUSH // 2:
-                        yield _rows(merged, sums)
-                        keys, counts, held = [], [], 0
-        if keys:
-            yield _rows(*_added(keys, counts))
-        if totals:
-            yield pa.RecordBatch.from_pydict(
-                {"h": pa.nulls(len(totals), pa.int64()), "c": pa.array(list(totals.values()), pa.int64()), "lang": pa.array(list(totals), pa.string())})
+                word, hashes = phrase_hashes(chunk, lang_hashes, k)
+                shorter = _in(shared.value, hashes[k - 1])
+                at = np.flatnonzero(_windows(chunk, k) & shorter[:-1] & shorter[1:])
+                held.append(_summed(hashes[k][at], None, hashes[k - 1][at], word[at + k - 1]))
+                if sum(len(x[0]) for x in held) > FLUSH:
+                    held = [_summed(*map(np.concatenate, zip(*held)))]
+                    if len(held[0][0]) > FLUSH // 2:
+                        yield _proposed(held.pop())
+        if held:
+            yield _proposed(_summed(*map(np.concatenate, zip(*held))))
         release_memory()
 
-    def _rows(h: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"h": h.view(np.int64), "c": c, "lang": pa.nulls(len(h), pa.string())})
+    def _proposed(rows: list[np.ndarray]) -> pa.RecordBatch:
+        _, c, h, w = rows
+        return pa.RecordBatch.from_pydict({"h": h.view(np.int64), "w": w.view(np.int64), "c": c})
 
-    return texts.mapInArrow(propose, "h long, c long, lang string")
+    return texts.mapInArrow(propose, "h long, w long, c long")
 
 
-def _bit_table(counts: DataFrame) -> np.ndarray:
-    """Bits of the hashes that occur ``LEAST`` times or more; its size is fixed by ``BITS``."""
-    frequent = counts.where("h is not null").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= LEAST)
+def _spelled(pairs: DataFrame, shorter: DataFrame, words: DataFrame) -> DataFrame:
+    """``lang, phrase, h`` of frequent pairs ``h, w``, from the phrases and words behind both hashes."""
+    def rehash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, w = (batch[c].to_numpy().view(np.uint64) for c in ("h", "w"))
+            yield pa.RecordBatch.from_arrays(
+                [batch["lang"], batch["phrase"], pa.array(_mixed(h, w).view(np.int64))], names=["lang", "phrase", "h"])
+
+    return pairs.join(shorter, "h").join(words, "w").select(
+        "lang", F.concat_ws(" ", "phrase", "word").alias("phrase"), "h", "w").mapInArrow(rehash, "lang string, phrase string, h long")
+
+
+def _bit_table(hashes: DataFrame) -> np.ndarray:
+    """One bit for each hash ``h``; the size is fixed by ``BITS``."""
     bit = F.shiftrightunsigned("h", 64 - BITS)
-    # Shifts take the low six bits of a column of places.
-    words = frequent.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("w")).agg(
+    words = hashes.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("at")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))).alias("bits")).toArrow()
     table = np.zeros(1 << (BITS - 6), np.uint64)
-    table[words["w"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    table[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return table
 
 
-def _spelled(texts: DataFrame, tables: list[np.ndarray]) -> DataFrame:
-    """``lang, phrase``: all phrases whose hashes are in the table of their length, each once."""
-    shared = texts.sparkSession.sparkContext.broadcast(tables)
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.uint64)
-        for batch in batches:
-            coded, names, lang_hashes = _coded(batch)
-            for chunk in chunks(coded):
-                langs, phrases, new = [], [], []
-                for k, hashes in enumerate(phrase_hashes(chunk, lang_hashes), 1):
-                    at = np.flatnonzero(_windows(chunk, k) & _in(shared.value[k - 1], hashes))
-                    found, place = np.unique(hashes[at], return_index=True)
-                    unseen = ~np.isin(found, seen, assume_unique=True)
-                    new.append(found[unseen])
-                    for p in at[place[unseen]]:
-                        langs.append(names[chunk.lang[p]])
-                        phrases.append(b" ".join(chunk.words.take(pa.array(chunk.codes[p:p + k])).to_pylist()))
-                # Forgetting what was seen only sends a phrase twice.
-                seen = np.unique(np.concatenate([seen if len(seen) < 2 * FLUSH else seen[:0], *new]))
-                if langs:
-                    yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()), "phrase": pa.array([x.decode() for x in phrases], pa.string())})
-        release_memory()
-
-    return texts.mapInArrow(spell, "lang string, phrase string").distinct()
-
-
 class Trie:
     """A double-array trie of phrases over word codes, with one root per language.
 
@@ -248,40 +255,40 @@ class Trie:
     ``s``. ``accept`` is the number of the phrase that ends in a state, or -1.
     """
 
-    def __init__(self, base, check, accept, words, langs):
-        self.base, self.check, self.accept = (np.frombuffer(x, np.int32) for x in (base, check, accept))
-        self.code = {w: i for i, w in enumerate(words, 1)}
-        self.root = {x: i for i, x in enumerate(langs)}
+    def __init__(self, row: dict):
+        self.base, self.check, self.accept = (np.frombuffer(row[x], np.int32) for x in ("base", "check", "accept"))
+        # Breaks between lines never occur in words.
+        self.code = {w: i for i, w in enumerate(row["words"].split(b"\n"), 1)}
+        self.root = {x: i for i, x in enumerate(row["langs"])}
         self.phrases = int(self.accept.max()) + 1
 
     @staticmethod
-    def build(langs: list[str], phrases: list[str], numbers: np.ndarray) -> dict:
+    def build(langs: pa.Array, phrases: pa.Array, numbers: np.ndarray) -> dict:
         """Arrays of the trie, for ``Trie``; the time is spent on states with several children only."""
-        split = [p.encode().split(b" ") for p in phrases]
-        words = sorted({w for p in split for w in p})
-        code = {w: i for i, w in enumerate(words, 1)}
-        names = sorted(set(langs))
-        root = {x: i for i, x in enumerate(names)}
-        path = np.zeros((len(split), max(map(len, split))), np.int64)
-        for i, p in enumerate(split):
-            path[i, :len(p)] = [code[w] for w in p]
-        length = (path > 0).sum(1)
-        node = np.array([root[x] for x in langs], np.int64)
-        parents, symbols, accepts = [], [], [np.full(len(names), -1, np.int64)]
-        total = len(names)
-        for k in range(path.shape[1]):
+        split = pc.split_pattern(phrases, " ")
+        coded = split.flatten().dictionary_encode()
+        names = langs.dictionary_encode()
+        n_words, roots = len(coded.dictionary), len(names.dictionary)
+        starts = np.asarray(split.offsets)
+        length = np.diff(starts)
+        code = coded.indices.to_numpy().astype(np.int64) + 1
+        node = names.indices.to_numpy().astype(np.int64)
+        parents, symbols, accepts = [], [], [np.full(roots, -1, np.int64)]
+        total = roots
+        for k in range(int(length.max())):
             rows = np.flatnonzero(length > k)
-            edges, inverse = np.unique(node[rows] * (len(words) + 1) + path[rows, k], return_inverse=True)
-            parents.append(edges // (len(words) + 1))
-            symbols.append(edges % (len(words) + 1))
+            edges, inverse = np.unique(node[rows] * (n_words + 1) + code[starts[rows] + k], return_inverse=True)
+            parents.append(edges // (n_words + 1))
+            symbols.append(edges % (n_words + 1))
             node[rows] = total + inverse
             accept = np.full(len(edges), -1, np.int64)
             ends = rows[length[rows] == k + 1]
             accept[node[ends] - total] = numbers[ends]
             accepts.append(accept)
             total += len(edges)
-        parent, symbol, accept = np.concatenate(parents), np.concatenate(symbols), np.concatenate(accepts)
-        return Trie._laid_out(len(names), len(words), parent, symbol, accept) | {"words": words, "langs": names}
+        made = Trie._laid_out(roots, n_words, *map(np.concatenate, (parents, symbols, accepts)))
+        words = b"\n".join(coded.dictionary.cast(pa.binary()).to_pylist())
+        return made | {"words": words, "langs": names.dictionary.to_pylist()}
 
     @staticmethod
     def _laid_out(roots: int, n_words: int, parent: np.ndarray, symbol: np.ndarray, accept: np.ndarray) -> dict:
@@ -352,11 +359,14 @@ class Trie:
 def _tries(listed: DataFrame) -> DataFrame:
     """One row per shard of ``shard, number, lang, phrase``: the arrays of its trie."""
     def build(table: pa.Table) -> pa.Table:
-        made = Trie.build(table["lang"].to_pylist(), table["phrase"].to_pylist(), table["number"].to_numpy())
+        one = table.combine_chunks()
+        lang, phrase = (one[c].chunk(0) for c in ("lang", "phrase"))
+        made = Trie.build(lang, phrase, one["number"].to_numpy())
+        release_memory()
         return pa.table({"shard": table["shard"][:1], **{k: [v] for k, v in made.items()}})
 
     return listed.groupBy("shard").applyInArrow(
-        build, "shard long, base binary, check binary, accept binary, words array<binary>, langs array<string>")
+        build, "shard long, base binary, check binary, accept binary, words binary, langs array<string>")
 
 
 def _counted(texts: DataFrame, shard: int, trie: Trie) -> DataFrame:
@@ -380,13 +390,18 @@ def _counted(texts: DataFrame, shard: int, trie: Trie) -> DataFrame:
 
 def phrase_counts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Phrases of ``lang, text`` (no nulls) with ``LEAST`` or more occurrences, as ``lang, phrase, k, f``; and words per language ``lang, n``."""
-    tables, totals = [], None
-    for k in range(1, LONGEST + 1):
-        counts = kept(_proposals(texts, k, tables[-1] if tables else None).groupBy("h", "lang").agg(F.sum("c").alias("c")), f"proposals-{k}")
-        if k == 1:
-            totals = counts.where("h is null").select("lang", F.col("c").alias("n"))
-        tables.append(_bit_table(counts))
-    spelled = kept(_spelled(texts, tables), "spelled")
+    singles = kept(_words(texts).groupBy("lang", "phrase", "h", "w").agg(F.sum("c").alias("c")), "words")
+    totals = singles.groupBy("lang").agg(F.sum("c").alias("n"))
+    frequent = singles.where(F.col("c") >= LEAST)
+    words = kept(frequent.select("w", F.col("phrase").alias("word")).distinct(), "frequent-words")
+    levels = [frequent.select("lang", "phrase", "h")]
+    for k in range(2, LONGEST + 1):
+        pairs = _longer(texts, k, _bit_table(levels[-1])).groupBy("h", "w").agg(F.sum("c").alias("c")).where(F.col("c") >= LEAST)
+        levels.append(kept(_spelled(pairs.select("h", "w"), levels[-1], words), f"phrases-{k}"))
+    spelled = levels[0]
+    for more in levels[1:]:
+        spelled = spelled.union(more)
+    spelled = spelled.select("lang", "phrase")
     shards = max(1, -(-spelled.count() // SHARD_PHRASES))
     inside = Window.partitionBy("shard").orderBy("lang", "phrase")
     listed = kept(
@@ -394,12 +409,10 @@ def phrase_counts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     tries = kept(_tries(listed), "tries")
     counted = None
     for shard in range(shards):
-        row = tries.where(F.col("shard") == shard).first()
-        if row is None:
-            continue
-        trie = Trie(row["base"], row["check"], row["accept"], [bytes(w) for w in row["words"]], row["langs"])
-        found = kept(_counted(texts, shard, trie), "phrase-counts")
-        counted = found if counted is None else counted.union(found)
+        made = tries.where(F.col("shard") == shard).toArrow().to_pylist()
+        if made:
+            found = kept(_counted(texts, shard, Trie(made[0])), "phrase-counts")
+            counted = found if counted is None else counted.union(found)
     if counted is None:
         return texts.sparkSession.createDataFrame([], "lang string, phrase string, k int, f long"), totals
     k = F.length("phrase") - F.length(F.replace(F.col("phrase"), F.lit(" "), F.lit(""))) + 1
