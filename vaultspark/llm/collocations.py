@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,8 +46,10 @@ CONTAINED = 80
 TOP = 2000
 BITS = 26
 SHARD_PHRASES = 1 << 20
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 FLUSH = 1 << 20
+SLICE = 1 << 14
+FAN_IN = 256
 WHITE, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 
 _KIND = np.zeros(256, np.uint8)
@@ -370,7 +373,11 @@ def _tries(listed: DataFrame) -> DataFrame:
 
 
 def _counted(texts: DataFrame, shard: int, trie: Trie) -> DataFrame:
-    """``shard, number, c``: occurrences of the phrases of one shard, summed over the tasks."""
+    """``shard, number, c``: occurrences of the phrases of one shard.
+
+    A task's counts are one vector, sent in slices; tasks are added up ``FAN_IN`` at a
+    time, so no group holds more than ``FAN_IN`` slices, however many tasks there are.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(trie)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,12 +387,30 @@ def _counted(texts: DataFrame, shard: int, trie: Trie) -> DataFrame:
             coded, names, _ = _coded(batch)
             for chunk in chunks(coded):
                 trie.count(chunk, names, totals)
-        found = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_pydict({"number": found, "c": totals[found]})
+        slices = [totals[i:i + SLICE] for i in range(0, len(totals), SLICE)]
+        used = [i for i, x in enumerate(slices) if x.any()]
+        yield pa.RecordBatch.from_pydict({
+            "slice": pa.array(used, pa.int64()), "part": pa.array([TaskContext.get().partitionId()] * len(used), pa.int64()),
+            "counts": pa.array([slices[i].tobytes() for i in used], pa.binary())})
         release_memory()
 
-    return texts.mapInArrow(count, "number long, c long").groupBy("number").agg(F.sum("c").alias("c")).select(
-        F.lit(shard).cast("long").alias("shard"), "number", "c")
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(x.as_buffer(), np.int64) for x in table["counts"]], axis=0)
+        return pa.table({"slice": table["slice"][:1], "part": table["part"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, counts in zip(batch["slice"].to_pylist(), batch["counts"]):
+                c = np.frombuffer(counts.as_buffer(), np.int64)
+                found = np.flatnonzero(c)
+                yield pa.RecordBatch.from_pydict({"number": found + at * SLICE, "c": c[found]})
+
+    schema = "slice long, part long, counts binary"
+    vectors, parts = texts.mapInArrow(count, schema), texts.rdd.getNumPartitions()
+    while parts > 1:
+        vectors = vectors.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("slice", "part").applyInArrow(add, schema)
+        parts = -(-parts // FAN_IN)
+    return vectors.mapInArrow(unpack, "number long, c long").select(F.lit(shard).cast("long").alias("shard"), "number", "c")
 
 
 def phrase_counts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
