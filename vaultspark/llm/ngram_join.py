@@ -239,6 +239,7 @@ def _profile(df: DataFrame, id_type: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(k, id_arrow), pa.array(shingles[often].view(np.int64)), pa.nulls(k, pa.int32()),
                  pa.array(times[often].astype(np.int32))], names=names)
+        _POWERS.clear()
         release_memory()
 
     id_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
@@ -274,6 +275,7 @@ def _nodes(texts: DataFrame, heavy: np.ndarray, ranges: int) -> DataFrame:
                 keys.append(int(part[at[0]]))
                 blobs.append(shingle[at].tobytes() + cls[at].tobytes() + n[at].tobytes() + depth[at].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=["range", "entries"])
+        _POWERS.clear()
         release_memory()
 
     return texts.mapInArrow(packed, "range long, entries binary")
@@ -384,8 +386,10 @@ def _across(table: pa.Table, outlines: pa.Table) -> pa.Table:
             pairs.clear()
 
     for lo, hi in zip(first, [*first[1:], len(s)]):
-        for at in range(lo, hi, 256):
-            i = np.arange(at, min(at + 256, hi))[:, None]
+        # A stripe of rows against the rest of the node: about a million pairs at a time.
+        stripe = max(1, (1 << 20) // max(int(hi - lo), 1))
+        for at in range(lo, hi, stripe):
+            i = np.arange(at, min(at + stripe, hi))[:, None]
             j = np.arange(at + 1, hi)[None, :]
             ok = (comp[i] != comp[j]) & (j > i)
             ok &= np.minimum(most[i], most[j]) + np.maximum(below[i], below[j]) >= needed(n[i], n[j])
@@ -399,7 +403,7 @@ def _across(table: pa.Table, outlines: pa.Table) -> pa.Table:
                 u, v = u[ok], v[ok]
                 pairs.append((c[u], c[v], n[u], n[v]))
                 pending += len(u)
-            if pending > 2_000_000:
+            if pending > 500_000:
                 gather()
                 pending = 0
     gather()
@@ -467,23 +471,25 @@ def _filter_of(classes: DataFrame) -> np.ndarray:
     out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     got = words.toPandas()
     out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+    return out.view(np.uint8)
 
 
 def _chosen(texts: DataFrame, classes: DataFrame, made: Callable[[np.ndarray], bytes], name: str) -> DataFrame:
     """``cls`` and what ``made`` gives for its set, for classes of a table and perhaps some more, once each."""
-    bits = texts.sparkSession.sparkContext.broadcast(np.packbits(_filter_of(classes)))
+    bits = texts.sparkSession.sparkContext.broadcast(_filter_of(classes))
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(bits.value).astype(bool)
+        table = bits.value
         for batch in batches:
             out = {}
             for s in _sets(batch, 0):
                 c = signature(s)
-                if wanted[c & ((1 << FILTER_BITS) - 1)] and c not in out:
+                bit = c & ((1 << FILTER_BITS) - 1)
+                if table[bit >> 3] >> (bit & 7) & 1 and c not in out:
                     out[c] = made(s)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], names=["cls", name])
+        _POWERS.clear()
         release_memory()
 
     return texts.mapInArrow(chosen, f"cls long, `{name}` binary").dropDuplicates(["cls"])

@@ -42,9 +42,9 @@ from pyspark.sql import types as T
 from .common import documents, query, release_memory
 
 MARK = "▁"
-SEGMENTS_KEPT = 250_000
-PARTS_KEPT = 100_000
-PAIRS_KEPT = 300_000
+SEGMENTS_KEPT = 125_000
+PARTS_KEPT = 50_000
+PAIRS_KEPT = 150_000
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
 
@@ -340,6 +340,9 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids_col: str
             if ids_col:
                 columns.append(pa.array(all_ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *(x for x, _ in added)])
+        # Workers go on to other operators: what the texts of this task left behind must not stay.
+        _LOADED.clear()
+        del machine
         release_memory()
 
     return base.mapInArrow(encoded, T.StructType([*base.schema, *(T.StructField(x, t) for x, t in added)]))
