@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.canonical import to_text_frame
 from ..operators import vault
-from ..sources.storage import append_vault, read_vault
+from ..sources.vault_tables import BUCKETS, merge_into
 
 LOAD_THREADS = 4  # fixed value: models loaded side by side
 
@@ -29,21 +29,19 @@ def model_rows(source: DataFrame, model: Row, now: dt.datetime | None = None) ->
 
 
 def load_one(
-    source: DataFrame, model: Row, root: str, load_id: str, now: dt.datetime | None = None
+    source: DataFrame, model: Row, root: str, load_id: str, now: dt.datetime | None = None,
+    mode: str = "append", buckets: int = BUCKETS,
 ) -> None:
     """Create or extend one vault table; repeating a load changes nothing.
 
     Keys and attributes are stored as canonical text, the one type that lake
-    columns and payload fields share, so loads of either kind fit together.
+    columns and payload fields share, so loads of either kind fit together. With
+    ``mode="refresh"`` rows that are there already take the new load time.
     """
-    path = f"{root}/{model['model_name']}"
     columns = list(dict.fromkeys([*model["business_keys"], *model["attributes"]]))
     rows = model_rows(to_text_frame(source.select(*columns)), model, now)
-    target = read_vault(source.sparkSession, path, without=load_id)
-    if target is not None:
-        keys = vault.merge_keys(model["model_type"], list(model["business_keys"]))
-        rows = vault.new_hub_rows(target, rows, keys)
-    append_vault(rows, path, load_id)
+    keys = vault.merge_keys(model["model_type"], list(model["business_keys"]))
+    merge_into(rows, f"{root}/{model['model_name']}", keys, load_id, mode, buckets)
 
 
 def load_vault(
@@ -53,16 +51,21 @@ def load_vault(
     load_id: str,
     now: dt.datetime | None = None,
     threads: int = LOAD_THREADS,
+    mode: str = "append",
+    buckets: int = BUCKETS,
 ) -> list[str]:
     """Load every registered model whose source is given; returns their names.
 
+    ``mode`` is ``append`` (what is known stays as it is) or ``refresh`` (known rows
+    take the new load time); ``buckets`` counts for tables that this load creates.
+
     Small models do not fill a cluster, so a few run at a time. A failing model
     fails the load once the others have ended; running it again is safe.
     """
     models = [m for m in registry.orderBy("model_name").collect() if m["table_name"] in sources]
     with ThreadPoolExecutor(max_workers=threads) as pool:
         jobs = [
-            pool.submit(load_one, sources[m["table_name"]], m, root, load_id, now) for m in models
+            pool.submit(load_one, sources[m["table_name"]], m, root, load_id, now, mode, buckets) for m in models
         ]
     for job in jobs:
         job.result()

@@ -7,13 +7,18 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.canonical import timestamps_as_text, utc_literal
 from ..operators import envelope as EV
+from ..operators import lineage as LN
+from ..operators import vault as V
 from ..plans.capture import capture_job
 from ..plans.load import load_vault
 from ..session import scratch_path
 from ..sources import envelopes as ES
 from ..sources import storage as S
-from .common import T0, CHANGE_COLUMNS, columns_of, consumed, lake, query, registry, sql_hash, sql_iso, sql_text
+from ..streaming import vault_refresher
+from .common import (
+    CHANGE_COLUMNS, T0, T0_SQL, T1, T1_SQL, columns_of, consumed, lake, query, registry, sql_hash, sql_iso, sql_text, with_models)
 
 _ORDERS_TEXT = ", ".join(
     f"{sql_iso(c) if c == CHANGE_COLUMNS['orders'] else sql_text('orders', c)} as {c}" for c in columns_of("orders")
@@ -70,3 +75,113 @@ def vault_reload(spark, sf):
 
     return reduce(DataFrame.unionByName, [
         shown("hub_order", ["o_orderkey"]), shown("link_order_o_cust", ["o_orderkey", "o_custkey"]), shown("sat_order", ["o_orderkey"])])
+
+
+# In the second load every third order has moved on to another status.
+_MOVED = "case when o_orderkey % 3 = 0 then 'X' else o_orderstatus end"
+_SAT_ROWS = f"select distinct cast(o_orderkey as varchar) as key, {sql_hash('orders', _SAT)} as hashdiff"
+_LOADS_SQL = f"""with first_load as ({_SAT_ROWS} from orders where o_orderkey % 2 = 0),
+second_load as ({_SAT_ROWS} from (select * replace ({_MOVED} as o_orderstatus) from orders where o_orderkey % 5 > 0))"""
+
+
+def _two_loads(spark, sf, mode: str) -> DataFrame:
+    """Rows of the orders' satellite after a load of the even orders and one of most orders, some moved on."""
+    root = scratch_path(spark, "vault")
+    orders = lake(spark, sf, "orders")
+    models = registry(spark, sf).filter("model_name = 'sat_order'")
+    load_vault(models, {"orders": orders.filter("o_orderkey % 2 = 0")}, root, "a", T0, buckets=16)
+    moved = orders.withColumn("o_orderstatus", F.expr(_MOVED)).filter("o_orderkey % 5 > 0")
+    load_vault(models, {"orders": moved}, root, "b", T1, mode=mode)
+    rows = S.read_vault(spark, f"{root}/sat_order")
+    return timestamps_as_text(rows.select(F.col("o_orderkey").alias("key"), "hashdiff", "load_datetime"))
+
+
+@query(
+    "vault_incremental",
+    f"""{_LOADS_SQL}
+select key, hashdiff, {T0_SQL} as load_datetime from first_load union all
+select key, hashdiff, {T1_SQL} from second_load where (key, hashdiff) not in (select key, hashdiff from first_load)""",
+)
+def vault_incremental(spark, sf):
+    """An incremental load into a bucketed table: known rows keep their time."""
+    return _two_loads(spark, sf, "append")
+
+
+@query(
+    "vault_refresh",
+    f"""{_LOADS_SQL}
+select key, hashdiff, {T1_SQL} as load_datetime from second_load union all
+select key, hashdiff, {T0_SQL} from first_load where (key, hashdiff) not in (select key, hashdiff from second_load)""",
+)
+def vault_refresh(spark, sf):
+    """The same loads, the second as a refresh: loaded rows take the new time, others stay."""
+    return _two_loads(spark, sf, "refresh")
+
+
+@query(
+    "vault_create_if_absent",
+    f"select distinct cast(c_custkey as varchar) as c_custkey, {T0_SQL} as load_datetime from customer where c_custkey % 2 = 0",
+)
+def vault_create_if_absent(spark, sf):
+    """A table is created once; what a second creation brings is ignored."""
+    path = scratch_path(spark, "created")
+    rows = lake(spark, sf, "customer").select(F.col("c_custkey").cast("string"))
+    S.create_if_absent(V.load_hub(rows.filter("c_custkey % 2 = 0"), ["c_custkey"], "customer", T0), path, "1")
+    S.create_if_absent(V.load_hub(rows, ["c_custkey"], "customer", T1), path, "2")
+    return timestamps_as_text(S.read_vault(spark, path).select("c_custkey", "load_datetime"))
+
+
+@query(
+    "bronze_tables_landed",
+    """select 'lineitem' as table_name, count(*) as n_rows, count(l_shipdate) as dated from lineitem union all
+select 'orders', count(*), count(o_orderdate) from orders""",
+)
+def bronze_tables_landed(spark, sf):
+    """Three tables land in one write, each in its own partition; one of them is truncated."""
+    root = scratch_path(spark, "bronze")
+    S.write_bronze(EV.land_payload(EV.add_audit(consumed(spark, sf), T0)), root, 0, "s")
+    S.truncate_bronze(spark, root, "EVENTS")
+    wide = EV.widen(S.read_bronze(spark, root).select("table", "fields"), ["l_shipdate", "o_orderdate"])
+    return wide.groupBy(F.col("table").alias("table_name")).agg(
+        F.count("*").alias("n_rows"), F.count(F.coalesce("l_shipdate", "o_orderdate")).alias("dated"))
+
+
+@query(
+    "bronze_catch_up",
+    """select 'hub_order' as model_name, cast(o_orderkey as varchar) as key from (select distinct o_orderkey from orders) union all
+select 'link_order_o_cust', concat_ws('|', o_orderkey, o_custkey) from (select distinct o_orderkey, o_custkey from orders)""",
+)
+def bronze_catch_up(spark, sf):
+    """Two streams land batches, the vault takes in one of them, misses the rest, and catches up; again finds nothing."""
+    root, vault = scratch_path(spark, "bronze"), scratch_path(spark, "vault")
+    landed = EV.land_payload(EV.add_audit(consumed(spark, sf, ["orders"]), T0))
+    number = F.pmod(F.xxhash64(F.to_json("fields")), F.lit(6))
+    models = registry(spark, sf).filter("table_name = 'orders' and model_type <> 'sat'")
+    refresh = vault_refresher(spark, models, root, vault)
+    for batch in range(3):
+        for stream in (0, 1):
+            S.write_bronze(landed.filter(number == 2 * batch + stream), root, batch, f"stream{stream}")
+        if batch == 0:
+            refresh({"orders": 1}, batch)
+    for _ in range(2):  # a new refresher knows from the ledger what is loaded
+        vault_refresher(spark, models, root, vault).flush()
+    tables = {"hub_order": ["o_orderkey"], "link_order_o_cust": ["o_orderkey", "o_custkey"]}
+    return reduce(DataFrame.unionByName, [
+        S.read_vault(spark, f"{vault}/{name}").select(F.lit(name).alias("model_name"), F.concat_ws("|", *keys).alias("key"))
+        for name, keys in tables.items()])
+
+
+@query(
+    "metadata_log",
+    with_models("""select target_model, count(*) as entries, count(distinct lineage_id) as ids from (
+  select model_name as target_model, model_name as lineage_id from models union all
+  select model_name, model_name from models where table_name = 'orders') group by 1"""),
+)
+def metadata_log(spark, sf):
+    """The lineage log after all models were logged, and those of one table once more; ids follow from the content."""
+    path = scratch_path(spark, "log")
+    models = registry(spark, sf)
+    S.append_log(LN.lineage(models, utc_literal(T0)), path)
+    S.append_log(LN.lineage(models.filter("table_name = 'orders'"), utc_literal(T1)), path)
+    return spark.read.parquet(path).groupBy("target_model").agg(
+        F.count("*").alias("entries"), F.countDistinct("lineage_id").alias("ids"))

@@ -5,8 +5,9 @@ stream is an id that lives with a checkpoint, so a batch replaces exactly its ow
 partitions: a replayed batch does not duplicate, and streams into one root never
 touch each other's rows. A message that a second stream (after a lost checkpoint,
 say) landed again is known by its source position; readers take its first landing.
-Vault tables are append-only datasets partitioned by ``load_id``; a load that is
-run again replaces what its first, possibly unfinished, try left behind.
+Vault tables are bucketed and read through a manifest (``vault_tables``); the
+append-only layout partitioned by ``load_id`` is kept for tables without merge keys: a
+load that is run again replaces what its first, possibly unfinished, try left behind.
 """
 
 from __future__ import annotations
@@ -19,33 +20,13 @@ from pyspark.sql import functions as F
 
 from ..functions.canonical import utc_literal, utc_wall_time
 from .envelopes import POSITION
+from .folders import children as _children, delete as _delete, fs_of as _fs, path_exists
+from .vault_tables import read_table
 
 BRONZE_PARTITIONS = ["table", "ingest_date", "stream", "batch"]
 NO_STREAM = "direct"
 
 
-def _fs(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _fs(spark, path)
-    return fs.exists(hadoop_path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, hadoop_path = _fs(spark, path)
-    fs.delete(hadoop_path, True)
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    fs, hadoop_path = _fs(spark, path)
-    if not fs.exists(hadoop_path):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
-
-
 # --- bronze -------------------------------------------------------------------
 
 
@@ -103,7 +84,10 @@ def read_bronze(spark: SparkSession, root: str, table: str | None = None) -> Dat
     )
 
 
-def bronze_batches(spark: SparkSession, root: str, table: str) -> set[tuple[str, str, str]]:
+Batch = tuple[str, str, str]
+
+
+def bronze_batches(spark: SparkSession, root: str, table: str) -> set[Batch]:
     """``(ingest_date, stream, batch)`` folders of a table: names, not data."""
     top = f"{root}/table={table.strip().lower()}"
     return {
@@ -114,6 +98,38 @@ def bronze_batches(spark: SparkSession, root: str, table: str) -> set[tuple[str,
     }
 
 
+def batch_folders(wanted: set[Batch], landed: set[Batch]) -> list[str]:
+    """The folders of wanted batches below a table's, as few as possible.
+
+    A stream's whole day, or a whole day, is one folder where all that landed in it is wanted.
+    """
+    def grouped(batches: set[Batch], by: int) -> dict[tuple, set[Batch]]:
+        out: dict[tuple, set[Batch]] = {}
+        for b in batches:
+            out.setdefault(b[:by], set()).add(b)
+        return out
+
+    names, folders, left = ("ingest_date", "stream", "batch"), [], set(wanted)
+    for by in (1, 2):
+        there = grouped(landed, by)
+        for prefix, some in grouped(left, by).items():
+            if some == there.get(prefix):
+                folders.append("/".join(f"{n}={v}" for n, v in zip(names, prefix)))
+                left -= some
+    folders += ["/".join(f"{n}={v}" for n, v in zip(names, b)) for b in left]
+    return sorted(folders)
+
+
+def read_batches(spark: SparkSession, root: str, table: str, wanted: set[Batch], landed: set[Batch]) -> DataFrame:
+    """The payload maps of some batches of a table, and nothing else: no other folder is listed, no footer read.
+
+    A message that two streams landed is there twice; merges, which compare keys, take it once.
+    """
+    top = f"{root}/table={table.strip().lower()}"
+    paths = [f"{top}/{f}" for f in batch_folders(wanted, landed)]
+    return spark.read.schema("fields map<string,string>").parquet(*paths)
+
+
 def truncate_bronze(spark: SparkSession, root: str, table: str) -> bool:
     """Remove all rows of a table; False if it holds none."""
     path = f"{root}/table={table.strip().lower()}"
@@ -205,7 +221,11 @@ def read_vault(spark: SparkSession, path: str, without: str | None = None) -> Da
     A load that runs again leaves out its own rows, which it replaces, and sees
     those of all others, whatever their ids and their order.
     """
-    if not any(name.startswith("load_id=") for name in _children(spark, path)):
+    names = _children(spark, path)
+    if "_manifest" in names:
+        table = read_table(spark, path)
+        return table if table is None or without is None else table.filter(F.col("load_id") != without)
+    if not any(name.startswith("load_id=") for name in names):
         return None
     frame = spark.read.option("mergeSchema", "true").parquet(path)
     if without is not None:

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import logging
+import threading
 import time
 import uuid
 from collections.abc import Callable
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import envelope, lineage
-from ..plans.load import load_one
-from ..sources.storage import append_log, bronze_batches, path_exists, read_bronze, stream_id, write_bronze
+from ..plans.load import LOAD_THREADS, load_one
+from ..sources.storage import Batch, bronze_batches, read_batches, stream_id, write_bronze
+from .ledger import BatchLedger
 
 log = logging.getLogger(__name__)
 
@@ -81,71 +82,133 @@ def start_bronze_stream(
 class VaultRefresher:
     """An after-write callback that loads the touched tables' models.
 
-    Which bronze batches a model has taken in is logged below the vault. A refresh
-    loads every landed batch the log lacks, not just the newest, so what a failed
-    or left-out refresh missed comes with the next one; call ``flush`` to catch up
-    on all models without waiting for one. A refresh that stops between its rows
-    and its log entry is repeated, and merges keep what is known.
-
-    With ``quiet_seconds`` a refresh waits until so much time has passed since the
-    last one; the batches in between go into one load.
+    A ledger below the vault says which bronze batches a model has taken in. A refresh
+    loads every landed batch the ledger lacks, in one load that reads just the folders
+    of these batches, however many there are: what a failed or left-out refresh missed,
+    or what landed during an outage, comes with the next one. ``flush`` catches up on
+    all models. A refresh that stops between its rows and its ledger entry is repeated,
+    and merges keep what is known.
+
+    With ``quiet_seconds`` a refresh waits until no batch has arrived for that long, and
+    then runs by itself, also when the stream has fallen silent; ``longest_wait`` bounds
+    the wait while batches keep coming. A refresh that fails is tried again after the
+    next quiet time, and one takes ``max_models`` models at most, the others follow.
+    ``close`` loads what is waiting and ends the waiting thread.
     """
 
-    LOG = "_loaded"
+    LEDGER = "_ledger"
 
-    def __init__(self, spark: SparkSession, registry: DataFrame, bronze_root: str, vault_root: str, quiet_seconds: float = 0):
+    def __init__(
+        self, spark: SparkSession, registry: DataFrame, bronze_root: str, vault_root: str, quiet_seconds: float = 0,
+        longest_wait: float | None = None, max_models: int | None = None, mode: str = "append",
+    ):
         self.spark, self.registry = spark, registry
-        self.bronze_root, self.vault_root = bronze_root, vault_root
-        self.quiet_seconds, self.last, self.waiting = quiet_seconds, 0.0, set()
+        self.bronze_root, self.vault_root, self.mode = bronze_root, vault_root, mode
+        self.quiet_seconds, self.longest_wait, self.max_models = quiet_seconds, longest_wait, max_models
+        self.ledger = BatchLedger(spark, f"{vault_root}/{self.LEDGER}")
+        self.waiting: set[str] = set()
+        self._arrived = self._since = 0.0
+        self._timer: threading.Timer | None = None
+        self._state, self._work = threading.Lock(), threading.Lock()
 
     def __call__(self, touched: dict[str, int], batch_id: int) -> None:
-        self.waiting.update(touched)
-        if self.waiting and time.monotonic() - self.last >= self.quiet_seconds:
-            self._refresh(set(self.waiting))
+        now = time.monotonic()
+        with self._state:
+            if not self.waiting:
+                self._since = now
+            self.waiting.update(t.lower() for t in touched)
+            self._arrived = now
+            if not self.waiting:
+                return
+        if self.quiet_seconds > 0:
+            self._arm()
+        else:
+            self._drain()
 
     def flush(self) -> None:
         """Load whatever is landed and not yet loaded, of all models."""
-        self._refresh({r["table_name"] for r in self.registry.select("table_name").distinct().collect()})
-
-    def _refresh(self, tables: set[str]) -> None:
-        names = lineage.impacted_models(
-            self.spark.createDataFrame([(t,) for t in sorted(tables)], "table string"), self.registry)
-        models = self.registry.join(names, "model_name", "left_semi").collect()
-        loaded = self._loaded()
-        landed: dict[str, set[tuple[str, str, str]]] = {}
-        for model in models:
-            table = model["table_name"].lower()
-            if table not in landed:
-                landed[table] = bronze_batches(self.spark, self.bronze_root, table)
-            pending = landed[table] - loaded.get(model["model_name"], set())
-            if pending:
-                self._load(model, table, pending)
-        self.waiting -= tables
-        self.last = time.monotonic()
-
-    def _load(self, model: Row, table: str, pending: set[tuple[str, str, str]]) -> None:
-        # Batch names, one per landed batch, select the partitions to read.
-        wanted = reduce(lambda a, b: a | b, (
-            (F.col("ingest_date") == F.lit(day).cast("date")) & (F.col("stream") == stream) & (F.col("batch") == int(batch))
-            for day, stream, batch in sorted(pending)))
-        rows = read_bronze(self.spark, self.bronze_root, table).filter(wanted)
+        with self._state:
+            self.waiting.update(r["table_name"].lower() for r in self.registry.select("table_name").distinct().collect())
+        self._drain()
+
+    def close(self) -> None:
+        """Load what is waiting, and wait for nothing any more."""
+        with self._state:
+            if self._timer is not None:
+                self._timer.cancel()
+                self._timer = None
+        if self.waiting:
+            self._drain()
+
+    def _due(self) -> float:
+        """Seconds until the stream has been quiet, or waited for, long enough."""
+        due = self._arrived + self.quiet_seconds
+        if self.longest_wait is not None:
+            due = min(due, self._since + self.longest_wait)
+        return due - time.monotonic()
+
+    def _arm(self) -> None:
+        with self._state:
+            if self._timer is None:
+                self._timer = threading.Timer(max(0.0, self._due()), self._fire)
+                self._timer.daemon = True
+                self._timer.start()
+
+    def _fire(self) -> None:
+        with self._state:
+            self._timer = None
+            early = self._due() > 0
+        if early:  # a batch came in while the timer ran
+            self._arm()
+            return
+        try:
+            self._drain()
+        except Exception:
+            log.exception("refresh failed; it is tried again")
+            with self._state:
+                self._arrived = self._since = time.monotonic()
+            self._arm()
+
+    def _drain(self) -> None:
+        """Load the waiting tables' models; tables of which one fails wait on."""
+        with self._work:
+            with self._state:
+                tables, self.waiting = self.waiting, set()
+            left = set(tables)
+            try:
+                left -= self._refresh(tables)
+            finally:
+                with self._state:
+                    self.waiting |= left
+
+    def _refresh(self, tables: set[str]) -> set[str]:
+        """Load all models of some tables; returns the tables if that went well, and raises if one failed."""
+        touched = self.spark.createDataFrame([(t,) for t in sorted(tables)], "table string")
+        names = lineage.impacted_models(touched, self.registry)
+        models = self.registry.join(names, "model_name", "left_semi").orderBy("model_name").collect()
+        landed = {t: bronze_batches(self.spark, self.bronze_root, t) for t in {m["table_name"].lower() for m in models}}
+        step, failed = self.max_models or max(1, len(models)), []
+        for at in range(0, len(models), step):
+            todo = [(m, self.ledger.pending(m["model_name"], landed[m["table_name"].lower()])) for m in models[at:at + step]]
+            with ThreadPoolExecutor(max_workers=LOAD_THREADS) as pool:
+                jobs = [(m, pending, pool.submit(self._load, m, pending, landed[m["table_name"].lower()])) for m, pending in todo if pending]
+            for model, pending, job in jobs:
+                if job.exception() is None:
+                    self.ledger.add(model["model_name"], pending, landed[model["table_name"].lower()])
+                else:
+                    failed.append(job.exception())
+        if failed:
+            raise failed[0]
+        return tables
+
+    def _load(self, model: Row, pending: set[Batch], landed: set[Batch]) -> None:
+        rows = read_batches(self.spark, self.bronze_root, model["table_name"], pending, landed)
         columns = list(dict.fromkeys([*model["business_keys"], *model["attributes"]]))
-        load_one(envelope.widen(rows.select("fields"), columns), model, self.vault_root, f"stream-{uuid.uuid4().hex}")
-        entries = [(model["model_name"], *batch) for batch in sorted(pending)]
-        log_frame = self.spark.createDataFrame(entries, "model string, day string, stream string, batch string")
-        append_log(log_frame.coalesce(1), f"{self.vault_root}/{self.LOG}")
-
-    def _loaded(self) -> dict[str, set[tuple[str, str, str]]]:
-        path = f"{self.vault_root}/{self.LOG}"
-        out: dict[str, set[tuple[str, str, str]]] = {}
-        if path_exists(self.spark, path):
-            for r in self.spark.read.schema("model string, day string, stream string, batch string").parquet(path).distinct().collect():
-                out.setdefault(r["model"], set()).add((r["day"], r["stream"], r["batch"]))
-        return out
+        load_one(envelope.widen(rows, columns), model, self.vault_root, f"stream-{uuid.uuid4().hex}", mode=self.mode)
 
 
 def vault_refresher(
-    spark: SparkSession, registry: DataFrame, bronze_root: str, vault_root: str, quiet_seconds: float = 0
+    spark: SparkSession, registry: DataFrame, bronze_root: str, vault_root: str, quiet_seconds: float = 0, **options,
 ) -> VaultRefresher:
-    """The refresher of a vault; see ``VaultRefresher``."""
-    return VaultRefresher(spark, registry, bronze_root, vault_root, quiet_seconds)
+    """The refresher of a vault; see ``VaultRefresher`` for the options."""
+    return VaultRefresher(spark, registry, bronze_root, vault_root, quiet_seconds, **options)

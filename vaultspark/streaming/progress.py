@@ -56,11 +56,14 @@ class ProgressRecorder(StreamingQueryListener):
         return spark.createDataFrame(reports, PROGRESS_SCHEMA).replace(float("nan"), None)
 
     def flush(self, spark: SparkSession, path: str) -> None:
-        """Append the reports to a log; they are forgotten only once they are stored."""
+        """Append the reports to a log. Each is taken by one flush only, and put back if it cannot be stored."""
         with self._lock:
-            n = len(self._reports)
-            reports = self._reports[:n]
-        if n:
+            reports, self._reports = self._reports, []
+        if not reports:
+            return
+        try:
             append_log(spark.createDataFrame(reports, PROGRESS_SCHEMA).replace(float("nan"), None).coalesce(1), path)
+        except BaseException:
             with self._lock:
-                del self._reports[:n]
+                self._reports = reports + self._reports
+            raise
