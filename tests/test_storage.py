@@ -8,7 +8,8 @@ from vaultspark.operators import evolve as E
 from vaultspark.operators import lineage as LN
 from vaultspark.operators import modelling as MD
 from vaultspark.operators import vault as V
-from vaultspark.plans.load import load_vault, reload_models, vault_row_counts
+from vaultspark.plans.load import load_outcomes, load_vault, reload_models, vault_row_counts
+from vaultspark.sources import bronze_schema as BS
 from vaultspark.sources import storage as S
 from vaultspark.sources.jdbc import columns_query, table_source, tables_query
 from vaultspark.sources.lake import lake_catalog, read_lake_tables
@@ -166,3 +167,39 @@ def test_failing_model_fails_the_load(spark, tmp_path):
     with pytest.raises(Exception, match="gone"):
         load_vault(reg, {"t": spark.createDataFrame([("1",)], "k string")}, str(tmp_path), "1")
     assert S.read_vault(spark, f"{tmp_path}/hub_t").count() == 1
+
+
+def test_outcomes_are_kept_per_model(spark, tmp_path):
+    reg = spark.createDataFrame(
+        [("hub_t", "t", "hub", ["k"], [], ["k"]), ("sat_t", "t", "sat", ["k"], ["gone"], ["k", "gone"])],
+        "model_name string, table_name string, model_type string, business_keys array<string>, attributes array<string>, columns array<string>",
+    )
+    out = load_outcomes(reg, {"t": spark.createDataFrame([("1",)], "k string")}, str(tmp_path), "1")
+    assert {r.model_name: r.ok for r in out.collect()} == {"hub_t": True, "sat_t": False}
+    log = spark.read.parquet(f"{tmp_path}/_outcomes")
+    assert [(r.load_id, "gone" in r.message) for r in log.filter("not ok").collect()] == [("1", True)]
+    results = spark.createDataFrame(
+        [(1, E.ADD_COLUMN, "t", "OPERATION_STATUS_OK", "", "", "e"), (2, E.ADD_COLUMN, "t", "OPERATION_STATUS_ALREADY_APPLIED", "", "", "e"),
+         (3, E.NEW_LINK, "t", "OPERATION_STATUS_OK", "", "", "e"), (4, E.CHANGE_TYPE, "t", "OPERATION_STATUS_OK", "", "", "e"),
+         (5, E.ADD_COLUMN, "u", "OPERATION_STATUS_OK", "", "", "e")],
+        "seq int, kind string, table_name string, status string, error_code string, error_message string, evidence_snapshot_id string")
+    got = {r.seq: r for r in E.with_load_outcomes(results, reg, out).collect()}
+    assert [got[k].error_code for k in range(1, 6)] == ["VAULT_ADD_COLUMN_TRANSIENT", "", "", "DV_CHANGE_TYPE_FAILED", ""]
+    assert "gone" in got[1].error_message and got[1].evidence_snapshot_id == "" and got[4].evidence_snapshot_id == "e"
+
+
+def test_schema_log_only_grows(spark, tmp_path):
+    root = str(tmp_path)
+    cat = lambda *names: spark.createDataFrame([("T", i, c) for i, c in enumerate(names, 1)], "table_name string, ordinal int, column_name string")
+    names = lambda: [r.column_name for r in BS.bronze_catalog(spark, root).orderBy("ordinal").collect()]
+    with pytest.raises(ValueError):
+        BS.read_table(spark, root, "t")
+    assert BS.match_lake(spark, root, cat("b", "a").withColumn("table_name", F.lower("table_name"))).count() == 2
+    assert BS.read_table(spark, root, "T").columns == ["b", "a", "__ingested_at", "__record_source"] and BS.read_table(spark, root, "t").count() == 0
+    low = cat("A", "c", "b").withColumn("table_name", F.lower("table_name"))
+    assert [(r.column_name, r.action) for r in BS.match_lake(spark, root, low).collect()] == [("c", "add")]
+    assert BS.match_lake(spark, root, low).count() == 0 and names() == ["b", "a", "c"]
+    BS.adopt_table(spark.createDataFrame([("1", None), ("2", 3.5)], "b string, D double"), root, "t", DAY, "old")
+    BS.adopt_table(spark.createDataFrame([("1", None), ("2", 3.5)], "b string, D double"), root, "t", DAY, "old")
+    assert names() == ["b", "a", "c", "d"]
+    assert sorted((r.b, r.a, r.d) for r in BS.read_table(spark, root, "t").collect()) == [("1", None, None), ("2", None, "3.5")]

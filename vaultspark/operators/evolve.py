@@ -850,6 +850,51 @@ def apply_drop_column(ops: DataFrame, registry: DataFrame, catalog: DataFrame) -
     return _of_kind(ops, registry, catalog, DROP_COLUMN)
 
 
+# The models an operation answers for ("base" is a table's first satellite,
+# "sat" a later version), and its codes where a load fails for good and where trying
+# again may help.
+_LOADS = {
+    ADD_COLUMN: (["base", "sat"], "VAULT_ADD_COLUMN_FAILED", "VAULT_ADD_COLUMN_TRANSIENT"),
+    NEW_HUB: (["hub", "base"], None, "VAULT_NEW_HUB_TRANSIENT"),
+    NEW_LINK: (["link"], "VAULT_NEW_LINK_FAILED_PERMANENT", "VAULT_NEW_LINK_TRANSIENT"),
+    CHANGE_TYPE: (["hub", "link", "base", "sat"], None, "DV_CHANGE_TYPE_FAILED"),
+    DROP_COLUMN: (["hub", "link", "base", "sat"], None, "DV_DROP_FAILED"),
+}
+
+
+def with_load_outcomes(results: DataFrame, registry: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Results in which operations answer for the loads they queued.
+
+    ``outcomes`` has ``model_name, table_name, ok, message`` (see ``load.load_outcomes``).
+    An operation that was applied, and one of whose kind of models of its table failed to
+    load, fails with the message of the first such model: for good, or so that trying again
+    may help, as the message tells; new hubs, changed types and dropped columns can always
+    be tried again. A failed ADD_COLUMN keeps no evidence. Other results stay as they are.
+    """
+    base = (F.col("model_type") == "sat") & (model_version(F.col("model_name")) <= 1)
+    kinds = registry.select("model_name", F.when(base, "base").otherwise(F.col("model_type")).alias("model_type")).distinct()
+    failed = outcomes.filter(~F.col("ok")).join(kinds, "model_name").groupBy("table_name", "model_type").agg(
+        F.min(F.struct("model_name", "message")).alias("first"))
+    pairs = [(kind, t) for kind, (types, _, _) in _LOADS.items() for t in types]
+    answers = results.sparkSession.createDataFrame(pairs, "kind string, model_type string")
+    blamed = failed.join(answers, "model_type").groupBy("table_name", "kind").agg(F.min("first").alias("first"))
+    joined = results.join(blamed, ["table_name", "kind"], "left")
+    fails = F.col("first").isNotNull() & (F.col("status") == M.OK)
+    code, for_good = F.lit(None).cast("string"), F.lit(False)
+    for kind, (_, permanent, transient) in _LOADS.items():
+        lasting = F.lit(permanent is not None) & ~M.is_transient(F.col("first.message"))
+        code = F.when(F.col("kind") == kind, F.when(lasting, F.lit(permanent)).otherwise(F.lit(transient))).otherwise(code)
+        for_good = F.when(F.col("kind") == kind, lasting).otherwise(for_good)
+    new = {
+        "status": F.when(for_good, M.PERMANENT_ERROR).otherwise(M.TRANSIENT_ERROR),
+        "error_code": code,
+        "error_message": F.col("first.message"),
+        "evidence_snapshot_id": F.when(F.col("kind") == ADD_COLUMN, "").otherwise(F.col("evidence_snapshot_id")),
+    }
+    return joined.select(*(
+        F.when(fails, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in results.columns))
+
+
 def evolution_log(results: DataFrame) -> DataFrame:
     """Results as rows of the metadata log."""
     return results.select(

@@ -7,14 +7,17 @@ model. Rows themselves never pass through the driver.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.canonical import to_text_frame
 from ..operators import vault
+from ..sources.lake import list_lake_tables, read_lake
+from ..sources.storage import append_log, list_vault_tables
 from ..sources.vault_tables import BUCKETS, merge_into
 
 LOAD_THREADS = 4  # fixed value: models loaded side by side
@@ -44,6 +47,29 @@ def load_one(
     merge_into(rows, f"{root}/{model['model_name']}", keys, load_id, mode, buckets)
 
 
+OUTCOMES = "model_name string, table_name string, ok boolean, seconds double, message string"
+OUTCOME_LOG = "_outcomes"
+
+
+def _outcomes(
+    registry: DataFrame, sources: dict[str, DataFrame], root: str, load_id: str, now: dt.datetime | None,
+    threads: int, mode: str, buckets: int,
+) -> list[tuple[Row, float, Exception | None]]:
+    """Each model's load with its time and its error; a few run at a time, since small ones do not fill a cluster."""
+    models = [m for m in registry.orderBy("model_name").collect() if m["table_name"] in sources]
+
+    def run(model: Row) -> tuple[Row, float, Exception | None]:
+        start = time.monotonic()
+        try:
+            load_one(sources[model["table_name"]], model, root, load_id, now, mode, buckets)
+        except Exception as error:  # a model's failure is its own
+            return model, time.monotonic() - start, error
+        return model, time.monotonic() - start, None
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return list(pool.map(run, models))
+
+
 def load_vault(
     registry: DataFrame,
     sources: dict[str, DataFrame],
@@ -57,19 +83,53 @@ def load_vault(
     """Load every registered model whose source is given; returns their names.
 
     ``mode`` is ``append`` (what is known stays as it is) or ``refresh`` (known rows
-    take the new load time); ``buckets`` counts for tables that this load creates.
+    take the new load time); ``buckets`` counts for tables that this load creates. A
+    failing model fails the load once the others have ended; running it again is safe.
+    """
+    done = _outcomes(registry, sources, root, load_id, now, threads, mode, buckets)
+    for _, _, error in done:
+        if error is not None:
+            raise error
+    return [model["model_name"] for model, _, _ in done]
+
+
+def load_outcomes(
+    registry: DataFrame,
+    sources: dict[str, DataFrame],
+    root: str,
+    load_id: str,
+    now: dt.datetime | None = None,
+    threads: int = LOAD_THREADS,
+    mode: str = "append",
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """Load like ``load_vault``, but answer with one row per model instead of raising.
 
-    Small models do not fill a cluster, so a few run at a time. A failing model
-    fails the load once the others have ended; running it again is safe.
+    The rows are also appended to a log below the vault. ``evolve.with_load_outcomes``
+    turns them into the results of the operations that queued the models.
     """
-    models = [m for m in registry.orderBy("model_name").collect() if m["table_name"] in sources]
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        jobs = [
-            pool.submit(load_one, sources[m["table_name"]], m, root, load_id, now, mode, buckets) for m in models
-        ]
-    for job in jobs:
-        job.result()
-    return [m["model_name"] for m in models]
+    done = _outcomes(registry, sources, root, load_id, now, threads, mode, buckets)
+    rows = [(m["model_name"], m["table_name"], e is None, round(s, 3), "" if e is None else str(e)) for m, s, e in done]
+    frame = registry.sparkSession.createDataFrame(rows, OUTCOMES)
+    append_log(frame.withColumn("load_id", F.lit(load_id)).coalesce(1), f"{root}/{OUTCOME_LOG}")
+    return frame
+
+
+def start_up_gap(spark: SparkSession, lake_root: str, registry: DataFrame, vault_root: str) -> DataFrame:
+    """``(table_name, model_name, gap)`` of what the lake has and the vault lacks (see ``vault.vault_gap``)."""
+    tables = spark.createDataFrame([(t,) for t in list_lake_tables(spark, lake_root)], "table_name string")
+    return vault.vault_gap(tables, registry, list_vault_tables(spark, vault_root))
+
+
+def initial_load(
+    spark: SparkSession, lake_root: str, registry: DataFrame, vault_root: str, load_id: str, now: dt.datetime | None = None,
+) -> list[str]:
+    """Load the models without a table, of all lake tables; returns their names. A second call loads none."""
+    unbuilt = start_up_gap(spark, lake_root, registry, vault_root).filter("gap = 'no_table'")
+    models = registry.join(unbuilt.select("model_name"), "model_name", "left_semi")
+    known = set(list_lake_tables(spark, lake_root))
+    wanted = {r["table_name"] for r in models.select("table_name").distinct().collect()} & known
+    return load_vault(models, {t: read_lake(spark, lake_root, t) for t in wanted}, vault_root, load_id, now)
 
 
 def reload_models(

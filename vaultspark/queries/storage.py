@@ -8,17 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.canonical import timestamps_as_text, utc_literal
+from ..operators import cdc
 from ..operators import envelope as EV
+from ..operators import evolve as E
 from ..operators import lineage as LN
 from ..operators import vault as V
 from ..plans.capture import capture_job
-from ..plans.load import load_vault
-from ..session import scratch_path
+from ..plans.load import initial_load, load_outcomes, load_vault, start_up_gap
+from ..session import keep, scratch_path
+from ..sources import bronze_schema as BS
 from ..sources import envelopes as ES
+from ..sources import lake as L
 from ..sources import storage as S
 from ..streaming import vault_refresher
 from .common import (
-    CHANGE_COLUMNS, T0, T0_SQL, T1, T1_SQL, columns_of, consumed, lake, query, registry, sql_hash, sql_iso, sql_text, with_models)
+    CHANGE_COLUMNS, T0, T0_SQL, T1, T1_SQL, catalog, columns_of, consumed, lake, query, registry, sql_hash, sql_iso, sql_text, with_models)
 
 _ORDERS_TEXT = ", ".join(
     f"{sql_iso(c) if c == CHANGE_COLUMNS['orders'] else sql_text('orders', c)} as {c}" for c in columns_of("orders")
@@ -185,3 +189,95 @@ def metadata_log(spark, sf):
     S.append_log(LN.lineage(models.filter("table_name = 'orders'"), utc_literal(T1)), path)
     return spark.read.parquet(path).groupBy("target_model").agg(
         F.count("*").alias("entries"), F.countDistinct("lineage_id").alias("ids"))
+
+
+_LATE = "case when o_orderkey % 2 = 1 then o_orderpriority end"
+_ORDER_COLUMNS = [c for c in columns_of("orders") if c != "o_orderpriority"]
+
+
+@query(
+    "bronze_schema_log",
+    "with o as (select * replace (" + _LATE + """ as o_orderpriority) from orders)
+select 'orders' as table_name, column_name, ordinal, n_values from (values """
+    + ", ".join(f"('{c}', {i})" for i, c in enumerate([*_ORDER_COLUMNS, "o_orderpriority"], 1))
+    + ") t(column_name, ordinal) join (unpivot (select "
+    + ", ".join(f"count({c}) as {c}" for c in columns_of("orders"))
+    + """ from o) on columns(*) into name column_name value n_values) using (column_name)
+union all select 'pages', column_name, ordinal, (select count(*) from pages) from (values ('page_id', 1), ('url', 2), ('html', 3)) t(column_name, ordinal)
+union all select 'region', 'r_regionkey', 1, 0 union all select 'region', 'r_name', 2, 0""",
+)
+def bronze_schema_log(spark, sf):
+    """Bronze is created without a column, rows land, the lake gains the column, more rows land; a table is adopted."""
+    root = scratch_path(spark, "bronze")
+    orders, everything = lake(spark, sf, "orders"), L.lake_catalog(spark, sf)
+    early = everything.filter("table_name in ('orders', 'region') and column_name <> 'o_orderpriority'")
+    BS.match_lake(spark, root, early)
+    for batch, rows in enumerate((orders.filter("o_orderkey % 2 = 0").drop("o_orderpriority"), orders.filter("o_orderkey % 2 = 1"))):
+        sent = cdc.cdc_full(rows, "orders", CHANGE_COLUMNS["orders"]).withColumnRenamed("cdc_ingestion_timestamp", "cdc_modified_at")
+        S.write_bronze(EV.land_payload(EV.add_audit(sent, T0)), root, batch, "s")
+        BS.match_lake(spark, root, everything.filter("table_name = 'orders'"))
+    for _ in range(2):
+        BS.adopt_table(lake(spark, sf, "pages"), root, "pages", T1, "adopted")
+
+    def shown(table: str) -> DataFrame:
+        rows = BS.read_table(spark, root, table)
+        columns = [c for c in rows.columns if not c.startswith("__")]
+        counts = rows.agg(*[F.count(c).alias(c) for c in columns])
+        listed = F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("ordinal"), F.col(c).alias("n_values")) for i, c in enumerate(columns, 1)]))
+        return counts.select(F.lit(table).alias("table_name"), listed.alias("c")).select("table_name", "c.*")
+
+    return reduce(DataFrame.unionByName, [shown(t) for t in ("orders", "pages", "region")])
+
+
+@query(
+    "vault_start_up",
+    with_models("""select 'before' as stage, table_name, model_name, 'no_table' as gap from models where table_name in ('customer', 'nation')
+union all select stage, table_name, null, 'no_model' from (select distinct table_name from models) t, (values ('before'), ('after')) s(stage)
+where table_name not in ('customer', 'nation', 'region')"""),
+)
+def vault_start_up(spark, sf):
+    """What a start-up finds missing in a vault of one table, and what is left once it has loaded the rest."""
+    root = scratch_path(spark, "vault")
+    models = registry(spark, sf).filter("table_name in ('customer', 'nation', 'region')")
+    load_vault(models, {"region": lake(spark, sf, "region")}, root, "0")
+    found = []
+    for stage in ("before", "after"):
+        found.append(keep(start_up_gap(spark, sf, models, root).select(F.lit(stage).alias("stage"), "*")))
+        initial_load(spark, sf, models, root, stage)
+    return found[0].unionByName(found[1])
+
+
+@query(
+    "evolution_load_outcomes",
+    """select * from (values
+(1, 'OPERATION_STATUS_TRANSIENT_ERROR', 'VAULT_ADD_COLUMN_TRANSIENT'), (2, 'OPERATION_STATUS_PERMANENT_ERROR', 'VAULT_ADD_COLUMN_FAILED'),
+(3, 'OPERATION_STATUS_TRANSIENT_ERROR', 'VAULT_NEW_HUB_TRANSIENT'), (4, 'OPERATION_STATUS_PERMANENT_ERROR', 'VAULT_NEW_LINK_FAILED_PERMANENT'),
+(5, 'OPERATION_STATUS_OK', ''), (6, 'OPERATION_STATUS_OK', '')) t(seq, status, error_code)
+where (select count(*) from orders) + (select count(*) from part) + (select count(*) from customer) + (select count(*) from supplier) > 0""",
+)
+def evolution_load_outcomes(spark, sf):
+    """Operations whose models fail to load answer for it; others, on the same tables or not, do not."""
+    everything = registry(spark, sf)
+    columns = catalog(spark, sf)
+    ops = spark.createDataFrame(
+        [(k, f"c{k}", "", f"i{k}", "LAYER_VAULT", kind, table, {"column_name": column} if column else {}) for k, (kind, table, column) in enumerate([
+            (E.ADD_COLUMN, "orders", "late"), (E.ADD_COLUMN, "part", "late"), (E.NEW_HUB, "customer", None),
+            (E.NEW_LINK, "supplier", None), (E.ADD_COLUMN, "nation", "late"), (E.NEW_HUB, "orders", None)], 1)],
+        "seq bigint, correlation_id string, plan_id string, idempotency_key string, layer string, kind string, target string, params map<string,string>")
+    # The vault knows these tables' models but for the hubs of two and the links of one.
+    known = everything.filter(
+        "table_name in ('orders', 'part', 'nation', 'customer', 'supplier') and model_name not in ('hub_order', 'hub_customer') "
+        "and not (table_name = 'supplier' and model_type = 'link')")
+    done = E.apply_batch(ops, known, columns)
+
+    def broken(table: str, column: str, message: str) -> DataFrame:
+        return lake(spark, sf, table).withColumn(column, F.raise_error(F.lit(message)).cast("string"))
+
+    sources = {
+        "orders": broken("orders", "late", "java.net.ConnectException: Connection refused"), "part": broken("part", "late", "no such unit"),
+        "customer": broken("customer", "c_custkey", "key out of range"), "supplier": broken("supplier", "s_nationkey", "key out of range"),
+        "nation": lake(spark, sf, "nation").withColumn("late", F.lit("x"))}
+    queued = done.registry.join(done.queued.select("model_name").distinct(), "model_name", "left_semi")
+    outcomes = load_outcomes(queued, sources, scratch_path(spark, "vault"), "1", T0)
+    return E.with_load_outcomes(done.results, done.registry, outcomes).select("seq", "status", "error_code")
