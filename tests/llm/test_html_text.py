@@ -61,3 +61,17 @@ def test_broken_markup_nulls_and_clashes(spark, make_tables, field):
 def test_blocks():
     found = html_text.blocks_of('<ul><li>a<li>b <a href="/x">c  d</a></ul><style>p{}</style><p>e&nbsp;f<script>"</p>"</script>g<h2>h</h2>')
     assert [(b.text, b.linked) for b in found] == [("a", 0), ("b c d", 4), ("e fg", 0), ("h", 0)]
+
+
+@pytest.mark.parametrize("tag", sorted(html_text.UNREAD - {"head", "title"}))
+def test_elements_that_are_not_read(tag):
+    inside = f"<article><p>Before <{tag} class=x>hidden <b>bold</b> words</{tag}>after.</p><{tag}><p>hidden block</{tag}><p>Next.</p></article>"
+    found = html_text.blocks_of(inside)
+    assert " ".join(b.text for b in found) == "Before after. Next."
+    assert [t for t, _ in found[0].context] == ["article", "p"]
+
+
+def test_head_and_elements_left_open():
+    page = "<html><head>loose words<title>T</title><body><p>One.</p><div><svg><text>lost</div><p>Two <object>lost<p>lost</object>here."
+    assert [b.text for b in html_text.blocks_of(page)] == ["One.", "Two", "here."]
+    assert html_text.blocks_of("<p><video><a href=x>lost") == []

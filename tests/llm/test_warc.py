@@ -58,3 +58,20 @@ def test_links_in_any_direction_chains_and_orphans(spark, tmp_path):
         assert (r.response.record_id, [x.record_id for x in r.requests], [x.record_id for x in r.metadata]) == (f"<r{k}>", [f"<q{k}>"], [f"<m{k}>"])
         assert r.response.payload_sha256 == hashlib.sha256(b"payload").hexdigest()
     assert got["<m3>"].response is None and len(got["<m3>"].requests) == 1
+
+
+def test_repeated_ids_with_other_urls_equal_oracle(spark, make_tables, oracle):
+    folder = make_tables(pages=[(1, "a", BIG), (1, "b", BIG), (2, "u", BIG), (2, "v", BIG), (None, "w", BIG), (None, "x", BIG + "y"), (None, "z", BIG + "y")])
+    got = rows(QUERIES["op1_warc"](spark, folder))
+    assert len(got[1]) == 7 and got == oracle(ORACLES["op1_warc"], folder)
+
+
+def test_deep_chains_and_orphans_of_several_hops(spark, tmp_path):
+    deep = [_record("response", "<r>", (), b"HTTP/1.1 200 OK\r\n\r\np")]
+    deep += [_record("metadata", f"<d{k:02d}>", [f"<d{k - 1:02d}>" if k else "<r>"]) for k in range(15)]
+    # m1 < m2 < q: both name the request, which has no response; two more name a record that is missing.
+    lost = [_record("request", "<q>"), _record("metadata", "<m1>", ["<q>"]), _record("metadata", "<m2>", ["<q>"]),
+            _record("metadata", "<x1>", ["<z>"]), _record("request", "<x2>", ["<z>"])]
+    (tmp_path / "a.warc").write_bytes(b"".join(deep + lost))
+    got = {r.capture: len(r.requests) + len(r.metadata) for r in warc.assemble(warc.read_records(spark, str(tmp_path))).collect()}
+    assert got == {"<r>": 15, "<m1>": 3, "<x1>": 2}

@@ -66,7 +66,7 @@ def blocks_of(page: str) -> list[Block]:
     stack: list[tuple[str, str]] = []
     context: tuple | None = None
     parts: list[str] = []
-    linked = links = 0
+    linked = links = unread = 0  # unread: open elements whose text is not part of the page's
     low = None
 
     def flush() -> None:
@@ -84,8 +84,9 @@ def blocks_of(page: str) -> list[Block]:
         linked = 0
 
     def close_to(depth: int) -> None:
-        nonlocal links, context
+        nonlocal links, unread, context
         links -= sum(t == "a" for t, _ in stack[depth:])
+        unread -= sum(t in UNREAD for t, _ in stack[depth:])
         del stack[depth:]
         context = None
 
@@ -95,11 +96,12 @@ def blocks_of(page: str) -> list[Block]:
         if found is None:
             rest = page[at:]
             cut = re.search(r"<[a-zA-Z/][^>]*\Z", rest)
-            parts.append(rest[: cut.start()] if cut else rest)
-            if links:
-                linked += len(parts[-1])
+            if not unread:
+                parts.append(rest[: cut.start()] if cut else rest)
+                if links:
+                    linked += len(parts[-1])
             break
-        if found.start() > at:
+        if found.start() > at and not unread:
             parts.append(page[at: found.start()])
             if links:
                 linked += found.start() - at
@@ -115,7 +117,7 @@ def blocks_of(page: str) -> list[Block]:
                 if stack[k][0] == tag:
                     close_to(k)
                     break
-                if stack[k][0] in BLOCKS and tag not in BLOCKS:
+                if stack[k][0] in BLOCKS and tag not in BLOCKS and tag not in UNREAD:
                     break  # an inline end tag does not reach beyond its block
             continue
         if tag in RAW:
@@ -133,12 +135,17 @@ def blocks_of(page: str) -> list[Block]:
         if tag in BLOCKS:
             flush()
             context = None
+            if tag == "body":
+                for k, (open_tag, _) in enumerate(stack):
+                    if open_tag == "head":  # its end tag may be left out
+                        close_to(k)
+                        break
             if tag in CLOSES_P:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == "p":
                         close_to(k)
                         break
-                    if stack[k][0] in BLOCKS:
+                    if stack[k][0] in BLOCKS or stack[k][0] in UNREAD:
                         break
             if tag in CLOSES:
                 same, roof = CLOSES[tag]
@@ -146,15 +153,15 @@ def blocks_of(page: str) -> list[Block]:
                     if stack[k][0] in same:
                         close_to(k)
                         break
-                    if stack[k][0] in roof:
+                    if stack[k][0] in roof or stack[k][0] in UNREAD:
                         break
         if tag in VOID or found[3].endswith("/") and tag not in BLOCKS:
             continue
         stack.append((tag, found[3]))
-        if tag == "a":
-            links += 1
+        links += tag == "a"
+        unread += tag in UNREAD
     flush()
-    return [b for b in out if not any(t in UNREAD for t, _ in b.context)]
+    return out
 
 
 def context_features(context: tuple) -> list[str]:

@@ -14,14 +14,15 @@ response they repeat. Equal payloads are found by digest: digests are counted
 large group.
 
 Records of a capture name each other in either direction, and a metadata record
-may name the request instead of the response: ids are passed on until no record
-learns a new capture (``MAX_HOPS`` rounds at most are needed for any archive of
-that depth; deeper chains raise an error).
+may name the request instead of the response: ids are passed on, from the responses
+outwards, until no record learns a new capture. What is left after ``MAX_HOPS`` rounds
+is grouped by connected components, whatever its depth.
 
 Defined cases: a null payload counts as empty; a null url writes no target; a
 null id sorts last and is written as such; rows equal in id, url and payload are
-captures of their own, numbered, and of one kind; requests or metadata without a response become a capture of their
-own, without one; an empty table gives no captures.
+captures of their own, numbered, and of one kind; requests and metadata that no response
+reaches become one capture for each connected group, without a response (records that
+name the same missing record belong together); an empty table gives no captures.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import kept, query, read_columns
+from .graphs import connected_components
 
 LEAST_BYTES = 100
 MAX_HOPS = 8
@@ -82,13 +84,18 @@ def _numbered(rows: DataFrame) -> DataFrame:
 
 
 def choose_kinds(pages: DataFrame) -> DataFrame:
-    """``seed, id, digest, n_bytes`` to ``seed, first_seed`` of the revisits; equal rows share a seed."""
+    """``seed, id, digest, n_bytes`` to ``seed, first_seed`` of the revisits; equal rows share a seed.
+
+    All records of the smallest id are responses, also where that id is repeated; records
+    without an id revisit it, and are all responses where no record has one.
+    """
     large = pages.where(F.col("n_bytes") >= LEAST_BYTES).select("seed", "id", "digest")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "seed"))
     firsts = (
-        large.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull(), "id", "seed")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1").select("digest", F.col("first.seed").alias("first_seed"))
+        large.groupBy("digest").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1 and first.id is not null")
+        .select("digest", F.col("first.seed").alias("first_seed"), F.col("first.id").alias("first_id"))
     )
-    return large.join(firsts, "digest").where("seed <> first_seed").select("seed", "first_seed").distinct()
+    return large.join(firsts, "digest").where(~F.col("id").eqNullSafe(F.col("first_id"))).select("seed", "first_seed").distinct()
 
 
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
@@ -210,11 +217,20 @@ def assemble(records: DataFrame) -> DataFrame:
             break
         known = known.unionByName(fresh)
         rest = rest.join(fresh, "record_id", "left_anti")
-    else:
-        raise ValueError(f"captures are chained over more than {MAX_HOPS} records")
-    # What no response reaches: a group of its own by the smallest neighbouring id.
-    alone = rest.join(both, "record_id", "left").groupBy("record_id").agg(
-        F.least(F.col("record_id"), F.min("other")).alias("capture"))
+    # What is left is chained deeper, or no response reaches it: whole components of the rest,
+    # which go with the smallest capture they touch, else with their smallest id.
+    rest = kept(rest, "warc-rest")
+    alone = rest.select("record_id", F.col("record_id").alias("capture"))
+    if not rest.isEmpty():
+        reached = known.select("record_id")
+        loose = both.join(reached, "record_id", "left_anti").join(
+            reached.withColumnRenamed("record_id", "other"), "other", "left_anti")
+        parts = connected_components(loose.select(F.col("record_id").alias("a"), F.col("other").alias("b")))
+        groups = kept(rest.join(parts.withColumnRenamed("node", "record_id"), "record_id", "left").select(
+            "record_id", F.coalesce("component", "record_id").alias("part")), "warc-parts")
+        touched = both.join(known, "record_id").select(F.col("other").alias("record_id"), "capture").join(
+            groups, "record_id").groupBy("part").agg(F.min("capture").alias("touched"))
+        alone = groups.join(touched, "part", "left").select("record_id", F.coalesce("touched", "part").alias("capture"))
     captures = known.unionByName(alone)
     nested = records.join(captures, "record_id").select(
         "capture", "type", F.struct(*(c for c in _FIELDS if c != "concurrent_to")).alias("record"))
@@ -230,8 +246,8 @@ with p as (
          sha256(coalesce(html, '')) as payload_digest from pages),
 f as (select payload_digest, min(page_id) as first from p where payload_bytes >= 100 group by 1)
 select page_id, payload_bytes, payload_digest,
-       case when payload_bytes >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
-       case when payload_bytes >= 100 and page_id <> first then first end as refers_to,
+       case when payload_bytes >= 100 and page_id is distinct from first and first is not null then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and page_id is distinct from first then first end as refers_to,
        1 as n_requests, 1 as n_metadata
 from p left join f using (payload_digest)
 """
