@@ -65,3 +65,28 @@ def test_nulls_long_texts_and_clashes(spark, make_tables, library):
     got = QUERIES["op3_token_counts"](spark, folder).collect()
     assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 2), (1, 0), (2, 0), (3, count(library, long)), (4, 2), (4, 2)]
     assert QUERIES["op3_token_counts"](spark, make_tables()).collect() == []
+
+
+def test_other_vocabularies_are_counted_as_the_library_does(spark, sf_dir, monkeypatch):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    path = tc.vocabulary_path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()]
+    texts += ["hello  world\n\n  it's\ta b ", " " * 50, "x" * 500]
+    vocabulary = tc.load(path)
+    assert vocabulary.stable and not vocabulary.by_words
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert [tc.count_text(vocabulary, t) for t in texts] == want
+    monkeypatch.setattr(tc, "CHUNK_CHARS", 300)
+    assert [tc.count_text(vocabulary, t) for t in texts] == want
+    assert [len(tc.spliced(t, vocabulary.encode, 300, 64)) for t in texts] == want
+    assert tc.load(tc.vocabulary_path("word_bpe_49k.json")).by_words
+
+    # A pre-tokeniser that is not known: no splicing, no words.
+    made = tc._Json.__new__(tc._Json)
+    other = Tokenizer(models.BPE())
+    other.pre_tokenizer = pre_tokenizers.Metaspace()
+    monkeypatch.setattr(Tokenizer, "from_file", staticmethod(lambda _: other))
+    made.__init__("any")
+    assert not made.stable and not made.by_words

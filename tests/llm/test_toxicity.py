@@ -28,6 +28,37 @@ def test_pairs_are_learned():
     assert sum(a == bool(b) for a, b in zip(got, labels[1000:])) > 490
 
 
+def test_pairs_without_any_single_signal_are_learned():
+    """Toxic where exactly one of insult and group occurs: each word alone says nothing."""
+    rng = random.Random(5)
+    filler = [f"w{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    texts, labels = [], []
+    for _ in range(3000):
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        parts = rng.sample(filler, 8) + ["nitwit"] * insult + ["martians"] * group
+        rng.shuffle(parts)
+        texts.append(" ".join(parts))
+        labels.append(int(insult != group))
+    model = tx.train(sets(texts[:2000]), np.array(labels[:2000]))
+    got = [model.score(t) >= 0.5 for t in texts[2000:]]
+    assert sum(a == bool(b) for a, b in zip(got, labels[2000:])) > 950
+
+
+def test_score_is_the_written_out_sum_over_pairs():
+    rng = np.random.default_rng(2)
+    words = [f"word{a}" for a in "abcdefgh"]
+    place = np.full(tx.BUCKETS, -1, np.int32)
+    known = sorted({t for w in words[:6] for t in tx.terms_of(w)})
+    place[known] = np.arange(len(known))
+    model = tx.Model(place, -0.3, rng.normal(size=len(known)).astype(np.float32), rng.normal(size=(len(known), tx.FACTORS)).astype(np.float32))
+    for k in range(9):
+        text = " ".join(words[:k] + words[:2])
+        rows = sorted({int(place[t]) for w in text.split() for t in tx.terms_of(w)} - {-1})
+        z = model.bias + sum(float(model.weight[i]) for i in rows)
+        z += sum(float(model.factor[i].astype(float) @ model.factor[j].astype(float)) for i in rows for j in rows if i < j)
+        assert abs(model.score(text) - 1 / (1 + math.exp(-z))) < 1e-4
+
+
 def test_held_out_rows(spark):
     rows = QUERIES["op10_toxicity"](spark, "/root/testdata/sf0.1").collect()
     labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}

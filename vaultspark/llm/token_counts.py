@@ -10,9 +10,13 @@ depend on what follows and those right of it not on what precedes. Where the
 overlap has no such place, it is widened (and with it the chunk), in the limit
 to the whole text.
 
-The same fact gives the short way for texts of ordinary length: their count is
-the sum over their words, and counts of words met before are remembered, within
-a bound on the remembered words that changes nothing but the speed.
+A vocabulary says at loading whether this holds: where its pre-tokeniser is none of the
+known ones, huge texts are encoded whole.
+
+Vocabularies whose pre-tokeniser is ``WORD_PATTERN``, which drops white space, have a
+short way for texts of ordinary length: their count is the sum over their words, and
+counts of words met before are remembered, within a bound on the remembered words
+that changes nothing but the speed. All others encode these texts whole.
 
 Defined cases: a null text counts as empty; the empty text has no tokens; rows
 are counted one by one, so repeated rows repeat; an empty table gives none.
@@ -20,6 +24,7 @@ are counted one by one, so repeated rows repeat; an empty table gives none.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterator
 from itertools import accumulate
@@ -37,9 +42,20 @@ WORDS_KEPT = 400_000
 # Sentence marks that end a pre-token wherever they follow a letter or digit.
 TAIL = ".,;:!?%&$#*)]"
 
+# Fixed value: the pre-tokens of word vocabularies; what lies between is dropped.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 Encoder = Callable[[str], tuple[list[int], list[int]]]
 
 
+def _steps(part: object | None, inner: str) -> list[dict]:
+    """The settings of a normaliser or pre-tokeniser, step by step."""
+    if part is None:
+        return []
+    settings = json.loads(part.__getstate__())
+    return settings[inner] if settings["type"] == "Sequence" else [settings]
+
+
 class _Json:
     """A ``tokenizers`` vocabulary: ids with the start of each token."""
 
@@ -52,6 +68,14 @@ class _Json:
         self.library.no_padding()
         self.counts: dict[str, int] = {}
         self.cores: dict[str, int] = {}
+        steps, changes = _steps(self.library.pre_tokenizer, "pretokenizers"), _steps(self.library.normalizer, "normalizers")
+        first = steps[0] if steps else {}
+        drops_space = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
+        known = all(x["type"] in ("NFC", "Lowercase") or x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} for x in changes)
+        # Words may be counted one by one, and cut from their end marks.
+        self.by_words = drops_space and known and first["pattern"] == {"Regex": WORD_PATTERN}
+        # No pre-token goes on from white space to what follows it.
+        self.stable = self.by_words or not changes and first.get("type") == "ByteLevel" and first.get("use_regex") is True
 
     def encode(self, text: str) -> tuple[list[int], list[int]]:
         found = self.library.encode(text, add_special_tokens=False)
@@ -64,6 +88,8 @@ class _Json:
 class _Model:
     """A ``sentencepiece`` model; pieces never cross from a letter to a space."""
 
+    by_words, stable = False, True
+
     def __init__(self, path: str):
         import sentencepiece
 
@@ -149,8 +175,10 @@ def count_text(vocabulary, text: str | None) -> int:
     """Tokens of one text."""
     if not text:
         return 0
-    if len(text) > CHUNK_CHARS or not isinstance(vocabulary, _Json):
+    if len(text) > CHUNK_CHARS and vocabulary.stable:
         return len(spliced(text, vocabulary.encode))
+    if len(text) > CHUNK_CHARS or not vocabulary.by_words:
+        return len(vocabulary.encode(text)[0])
     words = text.replace("\n", " ").split(" ")
     known = vocabulary.counts
     try:
