@@ -56,6 +56,7 @@ SHORT = 24
 HEAVY = 48
 MAX_HEAVY = 1 << 18
 NODE_ROWS = 400_000
+PAIRS_HELD = 300_000
 BLOCK_ROWS = 400
 FILTER_BITS = 24
 OUTLINE_BITS = 10
@@ -311,12 +312,18 @@ def _possible(n, m, i, j):
     return np.minimum(i, j) + 1 + np.minimum(n - i - 1, m - j - 1) >= needed(n, m)
 
 
-def _walk(table: pa.Table) -> pa.Table:
+def _found_batch(kind: int, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(columns[0]), kind, np.int32)), *(pa.array(x) for x in columns)], schema=_FOUND_ARROW)
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Nodes of one range: counted pairs of short ones (kind 0), entries of long ones (kind 1).
 
     Kind 2 counts the nodes that a class shares with any other: no overlap counted in nodes can exceed it.
+    Pairs leave whenever ``PAIRS_HELD`` have come together; their counts are added up later.
     """
-    shingle, cls, n, depth = _unpack(table.column("entries").to_pylist())
+    shingle, cls, n, depth = _unpack([blob for batch in batches for blob in batch.column("entries").to_pylist()])
     by = np.lexsort((cls, shingle))
     shingle, cls, n, depth = shingle[by], cls[by], n[by], depth[by]
     if len(shingle) > 1:  # a class that several tasks met
@@ -325,9 +332,17 @@ def _walk(table: pa.Table) -> pa.Table:
     first = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
     length = np.diff(np.r_[first, len(shingle)])
     many = np.repeat(length, length)
+    long = many > SHORT
+    if long.any():
+        yield _found_batch(1, shingle[long].view(np.int64), cls[long], n[long], depth[long], many[long].astype(np.int32))
+    if (many > 1).any():
+        some, of, times = np.unique(cls[many > 1], return_index=True, return_counts=True)
+        zero = np.zeros(len(some), np.int32)
+        yield _found_batch(2, some, np.zeros(len(some), np.int64), n[many > 1][of], zero, times.astype(np.int32))
     shared = (many > 1) & (many <= SHORT)
     s, c, m, d = shingle[shared], cls[shared], n[shared], depth[shared]
-    pairs = []
+    del shingle, cls, n, depth, many, by
+    pairs, held = [], 0
     for step in range(1, SHORT):
         if len(s) <= step:
             break
@@ -338,21 +353,14 @@ def _walk(table: pa.Table) -> pa.Table:
         ok = _possible(m[at], m[to], d[at], d[to])
         at, to = at[ok], to[ok]
         pairs.append((c[at], c[to], m[at], m[to]))
-    out = []
+        held += len(at)
+        if held > PAIRS_HELD:
+            yield _found_batch(0, *_counted(*(np.concatenate(x) for x in zip(*pairs))))
+            pairs, held = [], 0
     if pairs:
-        out.append((0, *_counted(*(np.concatenate(x) for x in zip(*pairs)))))
-    long = many > SHORT
-    if long.any():
-        out.append((1, shingle[long].view(np.int64), cls[long], n[long], depth[long], many[long].astype(np.int32)))
-    if (many > 1).any():
-        some, of, times = np.unique(cls[many > 1], return_index=True, return_counts=True)
-        zero = np.zeros(len(some), np.int32)
-        out.append((2, some, np.zeros(len(some), np.int64), n[many > 1][of], zero, times.astype(np.int32)))
-    if not out:
-        return _FOUND_ARROW.empty_table()
-    return pa.concat_tables([
-        pa.Table.from_arrays([pa.array(np.full(len(cols[0]), kind, np.int32)), *(pa.array(x) for x in cols)], schema=_FOUND_ARROW)
-        for kind, *cols in out])
+        yield _found_batch(0, *_counted(*(np.concatenate(x) for x in zip(*pairs))))
+    del s, c, m, d, pairs
+    release_memory()
 
 
 def _outline(s: np.ndarray) -> np.ndarray:
