@@ -309,10 +309,14 @@ def load(path: str) -> Transducer:
     return _LOADED[path]
 
 
-def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids_col: str | None = "ids") -> DataFrame:
+def encode_texts(
+    df: DataFrame, path: str, text_col: str = "text", ids_col: str | None = "ids", keep_warm: bool = False,
+) -> DataFrame:
     """All columns of ``df`` with ``n_tokens, n_byte_tokens, ids_sha256, round_trip``, and the ids if asked for.
 
     ``round_trip`` tells that decoding the ids gives the text back; ``ids_sha256`` hashes them as 32-bit numbers.
+    With ``keep_warm`` a worker's next task finds the segments that this one met (bounded by the
+    ``_KEPT`` numbers); without, a worker that goes on to other operators holds nothing.
     """
     added = [("n_tokens", T.LongType()), ("n_byte_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("round_trip", T.BooleanType())]
     if ids_col:
@@ -340,8 +344,8 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids_col: str
             if ids_col:
                 columns.append(pa.array(all_ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *(x for x, _ in added)])
-        # Workers go on to other operators: what the texts of this task left behind must not stay.
-        _LOADED.clear()
+        if not keep_warm:
+            _LOADED.clear()
         del machine
         release_memory()
 
@@ -370,4 +374,4 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 @query("op5_sentencepiece")
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return encode_texts(docs, model_path(), ids_col=None).drop("text")
+    return encode_texts(docs, model_path(), ids_col=None, keep_warm=True).drop("text")
