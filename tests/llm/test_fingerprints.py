@@ -30,9 +30,9 @@ def test_whole_table(spark, sf_dir, monkeypatch):
         assert r.n_chars == len(d.text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert prints.setdefault(d.text, r.fingerprint) == r.fingerprint
         a, b, c = shingles(d.text), shingles(edited), shingles(nxt.text)
-        if len(a) > 400:
-            off += [abs(r.near_edited - jaccard(a, b)), abs(r.near_next - jaccard(a, c))]
-    assert max(off) < 0.25 and sum(off) / len(off) < 0.05
+        off += [abs(r.near_edited - jaccard(a, b)) * len(a | b) ** 0.5, abs(r.near_next - jaccard(a, c)) * len(a | c) ** 0.5]
+    # All texts, short ones too: errors in the unit that the docstring states, a standard error of at most 0.19.
+    assert max(off) < 5 * 0.19 and sum(x * x for x in off) / len(off) < 0.19 ** 2
 
 
 def test_sketches_merge_and_tell_containment(spark):
@@ -42,7 +42,7 @@ def test_sketches_merge_and_tell_containment(spark):
     merged = {}
     for r in fp.merge_sketches(sketched, "k").collect():
         merged.setdefault(r["k"], set()).add(r["hash"])
-    assert merged["g"] == merged["whole"] and 300 < len(merged["g"]) < 700
+    assert merged["g"] == merged["whole"] and 3350 < len(merged["g"]) < 3650
     part = spark.createDataFrame([(" ".join(words[:1000]), " ".join(words))], "a string, b string").select(
         fp.containment(fp.sketch(F.col("a")), fp.sketch(F.col("b"))), fp.likeness(fp.sketch(F.col("a")), fp.sketch(F.col("b")))).first()
     assert part[0] == 1.0 and 0.15 < part[1] < 0.35
@@ -67,23 +67,36 @@ def test_no_python_on_the_way_and_empty_table(spark, make_tables):
     assert not re.search("Python|Arrow|Pandas", frame._jdf.queryExecution().executedPlan().toString())
 
 
+def test_every_hash_below_the_share_stays_and_no_other(spark):
+    texts = [" ".join(f"w{k}x{j % 90}" for j in range(n)) for k, n in enumerate([0, 1, 4, 5, 6, 40, 128, 129, 3000])]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    for share in (1.0, 0.875, 0.5, 0.125):
+        for r in frame.select(fp.sketch(F.col("text"), 1.0).alias("whole"), fp.sketch(F.col("text"), share).alias("part"), "text").collect():
+            assert len(r.whole) == len(shingles(r.text))
+            assert r.part == [h for h in r.whole if h < share * 2 ** 64 - 2 ** 63]
+
+
 def test_short_texts_and_unequal_lengths(spark):
-    """Exact up to 127 shingles, close above, also where lengths differ and for merged parts."""
+    """The stated error holds for texts of any length; all shares but one share's rule compare alike."""
     words = lambda k, n: [f"w{k}x{j}" for j in range(n)]
     pairs = []
-    for k, n in enumerate([1, 3, 5, 6, 9, 12, 20, 30, 50, 80, 100, 125, 140, 300, 900, 1500] * 4):
+    for k, n in enumerate([1, 3, 5, 6, 9, 12, 20, 30, 50, 80, 100, 125, 140, 300, 900, 1500] * 8):
         a = words(k, n)
         pairs += [(" ".join(a), " ".join(a[:-1] + ["last"])), (" ".join(a), " ".join(a + words(-k - 1, 2 * n)))]
-    got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", fp.sketch(F.col("a")).alias("x"), fp.sketch(F.col("b")).alias("y")).select(
-        "a", "b", fp.likeness(F.col("x"), F.col("y")).alias("l"), fp.containment(F.col("x"), F.col("y")).alias("c")).collect()
+    rows = spark.createDataFrame(pairs, "a string, b string").select(
+        "a", "b", *(fp.sketch(F.col(c), s).alias(f"{c}{n}") for c in "ab" for n, s in ((1, 1.0), (2, fp.SHARE))))
+    got = rows.select("a", "b", *(f(F.col(f"a{n}"), F.col(f"b{n}")).alias(f"{name}{n}")
+                                  for n in (1, 2) for name, f in (("l", fp.likeness), ("c", fp.containment)))).collect()
+    off = []
     for r in got:
         a, b = shingles(r.a), shingles(r.b)
-        off = abs(r.l - jaccard(a, b))
-        assert off < (1e-9 if len(a | b) < 128 else 0.2) and abs(r.c - len(a & b) / len(a)) < (1e-9 if len(b) < 128 else 0.3)
-    # A short part has all of its hashes, a long one only the low ones: merged, both are cut alike.
-    long, short = words(0, 3000), words(1, 60)
-    frame = spark.createDataFrame([("g", " ".join(long)), ("g", " ".join(short))], "k string, text string")
-    merged = sorted(r["hash"] for r in fp.merge_sketches(frame.select("k", fp.sketch(F.col("text")).alias("sketch")), "k").collect())
-    one = spark.createDataFrame([(merged, " ".join(long), " ".join(short))], "m array<long>, a string, b string").select(
-        fp.containment(fp.sketch(F.col("a")), F.col("m")), fp.likeness(fp.sketch(F.col("a")), F.col("m"))).first()
-    assert one[0] == 1.0 and abs(one[1] - 2996 / 3052) < 0.05
+        assert abs(r.l1 - jaccard(a, b)) < 1e-9 and abs(r.c1 - len(a & b) / len(a)) < 1e-9
+        if len(a) > 1:  # a single shingle may leave an empty sketch
+            off += [abs(r.l2 - jaccard(a, b)) * len(a | b) ** 0.5, abs(r.c2 - len(a & b) / len(a)) * len(a) ** 0.5]
+    assert max(off) < 5 * 0.19 and sum(x * x for x in off) / len(off) < 0.19 ** 2
+    # Sketches of parts merge to the sketch of the whole, whatever their lengths.
+    long, short = " ".join(words(0, 3000)), " ".join(words(1, 60))
+    frame = spark.createDataFrame([("g", long), ("g", short)], "k string, text string")
+    merged = [r["hash"] for r in fp.merge_sketches(frame.select("k", fp.sketch(F.col("text")).alias("sketch")), "k").collect()]
+    alone = frame.select(F.explode(fp.sketch(F.col("text"))).alias("hash")).distinct().collect()
+    assert len(merged) == len(set(merged)) and set(merged) == {r["hash"] for r in alone}
