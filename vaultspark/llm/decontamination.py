@@ -18,19 +18,23 @@ Characters are compared in lower case, white space of any kind as a space.
 Passages too short for a positive count allow as many edits as the lemma still
 can filter, those shorter than q must occur as they are.
 
-Defined cases: null or empty texts and items match nothing; repeated documents
-and items give repeated rows; ties between ends take the first; a null id is
-reported as such.
+Defined cases: null or empty texts and items match nothing; rows of equal id and
+text are one document, items of equal id one item, so each pair of a document and an
+item gives one row however the benchmark was sliced; different texts under one id give
+a row each; ties between ends take the first; a null id is reported as such. Ids may
+be of any type that Arrow knows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import documents, query, read_columns, release_memory
 
@@ -246,32 +250,34 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     """``id_col, item_col, start, end, edits, passages``: one row per document and item found in it.
 
     ``start`` and ``end`` enclose all of the item's passages; ``edits`` is the smallest of theirs.
+    ``id_col`` and ``item_col`` need different names.
     """
-    id_type, item_type = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
-    schema = f"`{id_col}` {id_type}, `{item_col}` {item_type}, start long, end long, edits int, passages int"
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    if id_col == item_col:
+        raise ValueError(f"documents and items both name their id {id_col}")
+    id_type, item_type = docs.schema[id_col].dataType, items.schema[item_col].dataType
+    names = ["id", "digest", "item", "slice", "start", "end", "edits", "passages"]
+    schema = (f"id {id_type.simpleString()}, digest binary, item {item_type.simpleString()}, slice int, "
+              "start long, end long, edits int, passages int")
+    types = [to_arrow_type(id_type), pa.binary(), to_arrow_type(item_type), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
     texts = docs.select(F.col(id_col), F.col(text_col).alias("text"))
-    out = None
-    for part in _slices(items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))):
+    out = docs.sparkSession.createDataFrame([], schema)
+    for no, part in enumerate(_slices(items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")))):
         shipped = docs.sparkSession.sparkContext.broadcast(Index(passages(part)))
 
-        def searched(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            index = shipped.value
+        def searched(batches: Iterator[pa.RecordBatch], shipped=shipped, no=no) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                names = batch.column(0)
-                rows = [(names[k].as_py(), *m) for k, *m in matches(index, [t.as_py() or "" for t in batch.column(1)])]
+                ids, bodies = batch.column(0), [t.as_py() or "" for t in batch.column(1)]
+                rows = [(ids[k].as_py(), hashlib.sha256(bodies[k].encode("utf-8", "surrogatepass")).digest(), m[0], no, *m[1:])
+                        for k, *m in matches(shipped.value, bodies)]
                 if rows:
-                    columns = list(zip(*rows))
-                    types = [arrow[id_type], arrow[item_type], pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(columns, types)],
-                        names=[id_col, item_col, "start", "end", "edits", "passages"])
-
-        hits = texts.mapInArrow(searched, schema)
-        out = hits if out is None else out.union(hits)
-    if out is None:
-        return docs.sparkSession.createDataFrame([], schema)
-    return out
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+        out = out.union(texts.mapInArrow(searched, schema))
+    # Repeated documents have the same hits in each slice; an item's parts add up over the slices.
+    return out.distinct().groupBy("id", "digest", "item").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("edits").alias("edits"),
+        F.sum("passages").cast("int").alias("passages"),
+    ).select(F.col("id").alias(id_col), F.col("item").alias(item_col), "start", "end", "edits", "passages")
 
 
 def drop_contaminated(df: DataFrame, items: DataFrame, text_col: str = "text",
