@@ -52,16 +52,34 @@ def test_prune_drops_days_and_cuts_the_boundary(spark, tmp_path):
     assert S.prune_bronze_store(spark, root, cutoff) == 0
 
 
-def test_interrupted_prune_is_finished(spark, tmp_path):
+@pytest.mark.parametrize("others", [False, True])
+def test_interrupted_prune_hides_nothing_and_is_finished(spark, tmp_path, others):
     root = str(tmp_path)
     at = [dt.datetime(2024, 3, 2, h) for h in (11, 13)]
     S.write_bronze(landed(spark, [("a", '{"x":"1"}')], at[0]).unionByName(landed(spark, [("a", '{"x":"2"}')], at[1])), root, 4)
+    if others:
+        S.write_bronze(landed(spark, [("a", '{"x":"3"}'), ("b", '{"x":"4"}')], at[1]), root, 5)
     place = "table=a/ingest_date=2024-03-02/stream=s-direct/batch=4"
+    whole = S.read_bronze(spark, root)
     # As if the prune had stopped after deleting the live folder.
     spark.read.parquet(f"{root}/{place}").filter("fields['x'] = '2'").write.parquet(f"{root}/_staged/{place.replace('/', '!')}")
     S._delete(spark, f"{root}/{place}")
+    want = ["2", "3", "4"] if others else ["2"]
+    batches = {("2024-03-02", "s-direct", "4")} | ({("2024-03-02", "s-direct", "5")} if others else set())
+
+    def check():
+        rows = S.read_bronze(spark, root)
+        assert sorted(r.fields["x"] for r in rows.collect()) == want and rows.schema.simpleString() == whole.schema.simpleString()
+        assert [r.batch for r in S.read_bronze(spark, root, "A").filter("fields['x'] = '2'").collect()] == [4]
+        assert S.bronze_batches(spark, root, "a") == batches
+        for some in (batches, {b for b in batches if b[2] == "4"}):
+            got = S.read_batches(spark, root, "a", some, batches)
+            assert sorted(r.fields["x"] for r in got.collect()) == ["2", "3"][:len(some)]
+
+    check()
     S.prune_bronze_store(spark, root, dt.datetime(2024, 3, 2, 12))
-    assert [r.fields["x"] for r in S.read_bronze(spark, root).collect()] == ["2"]
+    check()
+    assert S._switching(spark, root) == {}
 
 
 def test_zone_of_session_and_driver_changes_nothing(spark):

@@ -1,5 +1,8 @@
+import datetime as dt
+import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from vaultspark.operators import cdc, vault
@@ -182,3 +185,46 @@ def test_bursts_on_a_stream(spark, tmp_path):
     query.stop()
     [row] = spark.table("burst_out").collect()
     assert (row.n_requests, row["values"]) == (5, ["m0", "m1"])
+
+
+def stream_of(spark, folder, batches, quiet, keys):
+    """Bursts that a stream over one file a micro-batch emits."""
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "k string, at timestamp, v string").coalesce(1).write.parquet(f"{folder}/in/{k:03d}")
+    stream = (spark.readStream.schema("k string, at timestamp, v string").option("maxFilesPerTrigger", 1)
+              .parquet(f"{folder}/in/*").withWatermark("at", "30 seconds"))
+    out = LN.coalesce_bursts(stream, "at", "v", quiet, keys)
+    name = f"bursts_{abs(hash(folder))}"
+    query = out.writeStream.format("memory").queryName(name).option("checkpointLocation", f"{folder}/check").trigger(availableNow=True).start()
+    try:
+        assert query.awaitTermination(240)
+    finally:
+        query.stop()
+    return spark.table(name), out
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_bursts_of_a_stream_equal_those_of_a_batch(spark, tmp_path, keys):
+    """Gaps below, at and above the quiet time, sessions over many bins, rows late within the watermark."""
+    rng = random.Random(len(keys))
+    quiet, at, rows = 60, dt.datetime(2024, 1, 1), []
+    for _ in range(160):
+        at += dt.timedelta(seconds=rng.choice([0, 5, 20, 31, 59, 59.999999, 60, 61, 130] if keys else [0, 20, 31, 40, 59, 60, 150]))
+        rows.append((rng.choice("ab"), at, rng.choice("xyz")))
+    for k in range(0, len(rows) - 1, 7):  # out of order
+        if (rows[k + 1][1] - rows[k][1]).total_seconds() < 30:
+            rows[k], rows[k + 1] = rows[k + 1], rows[k]
+    # Twenty rows a micro-batch; a last row far ahead closes all that came before.
+    batches = [rows[k:k + 20] for k in range(0, len(rows), 20)]
+    far = at + dt.timedelta(days=1)
+    batches += [[("z", far, "end")], [("z", far + dt.timedelta(days=1), "end")]]
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        got, out = stream_of(spark, str(tmp_path), batches, quiet, keys)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    frame = spark.createDataFrame([r for b in batches for r in b], "k string, at timestamp, v string")
+    want = LN.coalesce_bursts(frame, "at", "v", quiet, keys)
+    closed = lambda df: sorted(tuple(r) for r in df.filter("not array_contains(values, 'end')").collect())
+    assert closed(got) == closed(want) and len(closed(want)) > 5
+    assert got.columns == want.columns

@@ -67,6 +67,53 @@ def reconcile(expected: DataFrame, landed: DataFrame, base: DataFrame | None = N
     )
 
 
+def _stream_bursts(df: DataFrame, ts: str, value: str, quiet_seconds: int, keys: list[str]) -> DataFrame:
+    """Bursts of a stream by two chained aggregations: bins of the quiet time, then sessions of bins.
+
+    The first step's state is spread over keys and bins and reduced by map tasks, so a
+    dominant key, or a queue without keys, brings one row per bin to its session. A bin
+    reaches the second step when the watermark has passed its end, up to a quiet time
+    after a session that it continues would have ended; sessions are therefore kept with
+    both ends moved on by a quiet time, which is taken off again at the end. So a burst
+    comes out one quiet time after the watermark has passed its end. Spark joins sessions
+    that only touch, so each is a microsecond short meanwhile.
+    """
+    quiet = F.expr(f"INTERVAL {quiet_seconds} SECONDS")
+    bins = df.groupBy(*keys, F.window(ts, f"{quiet_seconds} seconds").alias("bin")).agg(
+        F.min(ts).alias("first_at"),
+        F.max(ts).alias("last_at"),
+        F.count(F.lit(1)).alias("n_requests"),
+        F.collect_set(value).alias("values"),
+    )
+
+    def micros(c: str) -> Column:
+        return F.unix_micros(F.col(c).cast("timestamp"))
+
+    seconds = ((micros("last_at") - micros("first_at") + quiet_seconds * 1_000_000 - 1) / F.lit(1_000_000)).cast("decimal(18,6)")
+    placed = bins.select(
+        *keys,
+        # An aggregate of the event time is event time too: marked as such, as the window's own end is.
+        (F.col("first_at") + quiet).alias("moved", metadata={"spark.watermarkDelayMs": 0}),
+        F.make_interval(secs=seconds).alias("gap"),
+        "n_requests",
+        "values",
+    )
+    # Spark's streaming sessions need a key; a single queue gets one that is
+    # the same for all requests.
+    by = keys or [F.isnotnull("moved").alias("all")]
+    return (
+        placed.groupBy(*by, F.session_window("moved", F.col("gap")).alias("s"))
+        .agg(F.sum("n_requests").alias("n_requests"), F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"))
+        .select(
+            *keys,
+            (F.col("s.start") - quiet).alias("burst_start"),
+            (F.col("s.end") - quiet + F.expr("INTERVAL 1 MICROSECOND")).alias("burst_end"),
+            "n_requests",
+            F.array_sort("values").alias("values"),
+        )
+    )
+
+
 def coalesce_bursts(
     df: DataFrame,
     ts: str,
@@ -78,8 +125,9 @@ def coalesce_bursts(
     """Requests closer together than ``quiet_seconds`` as one burst.
 
     Gives ``keys, burst_start, burst_end, n_requests, values``; ``burst_end`` is
-    the last request plus the quiet time, when the burst may run. A stream uses
-    Spark's session windows (set a watermark first).
+    the last request plus the quiet time, when the burst may run. Requests without
+    a time count nowhere. A stream needs a watermark on ``ts``, set first, and gives
+    the same bursts in append mode.
 
     A batch works in three steps, so that a key with a large share of the rows is
     never one task. Requests within one bin of the quiet time's length always
@@ -90,21 +138,7 @@ def coalesce_bursts(
     """
     keys = list(keys or [])
     if df.isStreaming:
-        session = F.session_window(ts, f"{quiet_seconds} seconds")
-        # Spark's streaming sessions need a key; a single queue gets one that is
-        # the same for all requests.
-        by = keys or [F.isnotnull(F.col(ts)).alias("all")]
-        return (
-            df.groupBy(*by, session.alias("s"))
-            .agg(F.count(F.lit(1)).alias("n_requests"), F.collect_set(value).alias("values"))
-            .select(
-                *keys,
-                F.col("s.start").alias("burst_start"),
-                F.col("s.end").alias("burst_end"),
-                "n_requests",
-                F.array_sort("values").alias("values"),
-            )
-        )
+        return _stream_bursts(df, ts, value, quiet_seconds, keys)
 
     def islands(rows: DataFrame, by: list[str], start: str, end: str) -> DataFrame:
         """Number the chains of intervals whose gaps are under the quiet time."""

@@ -14,7 +14,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +73,19 @@ def read_bronze(spark: SparkSession, root: str, table: str | None = None) -> Dat
     Only where several streams landed here can a source position repeat; it then
     belongs to the batch that landed it first.
     """
-    frame = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(root)
+    staged = _switching(spark, root)
+    try:
+        frame = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(root)
+    except AnalysisException as error:
+        if not staged or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        frame = None  # all that landed here is being switched
+    for place, folder in staged.items():
+        rest = spark.read.option("basePath", folder).parquet(folder)
+        for part, kind in zip(place.split("/"), ("string", "date", "string", "int")):
+            name, _, value = part.partition("=")
+            rest = rest.withColumn(name, F.lit(unquote(value)).cast(kind))
+        frame = rest if frame is None else frame.unionByName(rest, allowMissingColumns=True)
     if table is not None:
         frame = frame.filter(F.col("table") == table.lower())
     if POSITION not in frame.columns or len(_children(spark, f"{root}/_streams")) < 2:
@@ -90,12 +105,13 @@ Batch = tuple[str, str, str]
 def bronze_batches(spark: SparkSession, root: str, table: str) -> set[Batch]:
     """``(ingest_date, stream, batch)`` folders of a table: names, not data."""
     top = f"{root}/table={table.strip().lower()}"
-    return {
+    live = {
         (day.partition("=")[2], stream.partition("=")[2], batch.partition("=")[2])
         for day in _children(spark, top)
         for stream in _children(spark, f"{top}/{day}")
         for batch in _children(spark, f"{top}/{day}/{stream}")
     }
+    return live | set(_switching_batches(spark, root, table))
 
 
 def batch_folders(wanted: set[Batch], landed: set[Batch]) -> list[str]:
@@ -126,8 +142,12 @@ def read_batches(spark: SparkSession, root: str, table: str, wanted: set[Batch],
     A message that two streams landed is there twice; merges, which compare keys, take it once.
     """
     top = f"{root}/table={table.strip().lower()}"
-    paths = [f"{top}/{f}" for f in batch_folders(wanted, landed)]
-    return spark.read.schema("fields map<string,string>").parquet(*paths)
+    staged = _switching_batches(spark, root, table)
+    live = [f"{top}/{f}" for f in batch_folders(wanted - staged.keys(), landed - staged.keys())]
+    # Folders of a switch that stopped lie elsewhere; a prune switches one at a time.
+    parts = [[staged[b]] for b in sorted(wanted & staged.keys())] + ([live] if live else [])
+    frames = [spark.read.schema("fields map<string,string>").parquet(*paths).select("fields") for paths in parts]
+    return reduce(DataFrame.union, frames)
 
 
 def truncate_bronze(spark: SparkSession, root: str, table: str) -> bool:
@@ -139,6 +159,30 @@ def truncate_bronze(spark: SparkSession, root: str, table: str) -> bool:
     return True
 
 
+def _switching(spark: SparkSession, root: str) -> dict[str, str]:
+    """Rewritten batches whose live folder is deleted and not yet replaced: live place to complete staged folder.
+
+    Readers take these from where they are staged, so a prune that stops between
+    the two steps hides no row.
+    """
+    found = {}
+    for name in _children(spark, f"{root}/_staged"):
+        place, staged = name.replace("!", "/"), f"{root}/_staged/{name}"
+        if not path_exists(spark, f"{root}/{place}") and path_exists(spark, f"{staged}/_SUCCESS"):
+            found[place] = staged
+    return found
+
+
+def _switching_batches(spark: SparkSession, root: str, table: str) -> dict[Batch, str]:
+    """``_switching`` of one table, by batch."""
+    found = {}
+    for place, staged in _switching(spark, root).items():
+        name, day, stream, batch = (part.partition("=")[2] for part in place.split("/"))
+        if name == table.strip().lower():
+            found[(day, stream, batch)] = staged
+    return found
+
+
 def _recover(spark: SparkSession, root: str) -> None:
     """Finish switches that an interrupted prune left: a staged folder that is complete takes its place."""
     for name in _children(spark, f"{root}/_staged"):
@@ -165,7 +209,8 @@ def prune_bronze_store(spark: SparkSession, root: str, cutoff: dt.datetime) -> i
     Whole days before the cutoff go by deleting their folders. Only batches of
     the cutoff's own day are looked at, and only those that straddle the cutoff
     are rewritten: what stays is staged complete, then switched in by a rename. A
-    prune that stopped in between is finished by the next one.
+    prune that stopped in between is finished by the next one; until then readers
+    see the staged rows.
     """
     _recover(spark, root)
     touched = 0
