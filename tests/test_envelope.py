@@ -50,6 +50,26 @@ def test_widen_any_spelling(spark):
     assert tuple(out.first()) == ("1", "2", "low", None, '{"k":[1]}', None, "insert", "m")
 
 
+def test_keys_land_in_lower_case(spark):
+    payloads = [
+        '{"A":"1","b":"2"}', '{"x":"low","X":"up"}', '{"Q":"1","q":null,"z":"3"}', '{"y":"1","Y":"2","w":null}', '{"V":"1","v":"2"}',
+        '{"R":"first","rR":"no","r":null}', '{"Mm":"1","MM":"2"}', "{}", "broken"]
+    df = spark.createDataFrame([("T", p, "i", str(n)) for n, p in enumerate(payloads)], ENVELOPE)
+    got = {int(r.cdc_modified_at): r.fields for r in EV.land_payload(df).collect()}
+    assert got[0] == {"a": "1", "b": "2"}
+    assert got[1] == {"x": "low"}
+    assert got[2] == {"q": None, "z": "3"}  # without a lower-case value the last spelling counts
+    assert got[3] == {"y": "1", "w": None}
+    assert got[4] == {"v": "2"}
+    assert got[5] == {"r": None, "rr": "no"}
+    assert got[6] == {"mm": "2"}
+    assert got[7] == {} and got.get(8) is None
+    wide = EV.widen(EV.land_payload(df).select("fields"), ["A", "x"])
+    assert {(r.a, r.x) for r in wide.collect()} == {("1", None), (None, "low"), (None, None)}
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.count("map_entries") <= 1  # no look through the map per column
+
+
 def test_route_and_allow(spark):
     df = spark.createDataFrame([("t", '{"a":"1"}', "i", None), ("T", '{"a":"2"}', "i", None), (None, "{}", "i", None)], ENVELOPE)
     assert [tuple(r) for r in EV.route_one(df, "t", bronze_schema(["a"])).collect()] == [("1",)]

@@ -100,27 +100,43 @@ def payload_map(payload: Column) -> Column:
     return F.from_json(payload, _TEXT_MAP)
 
 
-def map_value(fields: Column, name: str) -> Column:
+def map_value(fields: Column, name: Column) -> Column:
     """A field by its lower-case name, under whatever spelling the payload used."""
-    low = name.lower()
-    other = F.filter(F.map_entries(fields), lambda e: F.lower(e["key"]) == low)
-    return F.coalesce(F.try_element_at(fields, F.lit(low)), F.try_element_at(other, F.lit(-1))["value"])
+    other = F.filter(F.map_entries(fields), lambda e: F.lower(e["key"]) == name)
+    return F.coalesce(F.try_element_at(fields, name), F.try_element_at(other, F.lit(-1))["value"])
+
+
+def lower_keys(fields: Column) -> Column:
+    """A payload map with lower-case keys, so that a column is one look-up.
+
+    Of spellings that differ in case only, the lower-case one counts if it has a
+    value, else the last. Maps that are lower-case already, the common case, stay as
+    they are; only those with such spellings are put together key by key.
+    """
+    keys = F.map_keys(fields)
+    low = F.transform(keys, lambda k: F.lower(k))
+    merged = F.map_from_entries(
+        F.transform(F.array_distinct(low), lambda k: F.struct(k.alias("key"), map_value(fields, k).alias("value"))))
+    return (
+        F.when(fields.isNull() | F.forall(keys, lambda k: k == F.lower(k)), fields)
+        .when(F.size(F.array_distinct(low)) == F.size(low), F.transform_keys(fields, lambda k, _: F.lower(k)))
+        .otherwise(merged)
+    )
 
 
 def widen(landed: DataFrame, columns: list[str], fields: str = "fields") -> DataFrame:
-    """Text columns out of the ``fields`` map, followed by the other columns."""
+    """Text columns out of the ``fields`` map with its lower-case keys, followed by the other columns."""
     rest = [c for c in landed.columns if c != fields]
     return landed.select(
-        *[map_value(F.col(fields), c).alias(c.lower()) for c in columns],
+        *[F.try_element_at(F.col(fields), F.lit(c.lower())).alias(c.lower()) for c in columns],
         *[F.col(f"`{c}`") for c in rest if c not in {x.lower() for x in columns}],
     )
 
 
 def parse_payload(envelopes: DataFrame, columns: list[str]) -> DataFrame:
     """Payloads to one STRING column per name, plus the change columns."""
-    with_map = envelopes.select(
-        payload_map(F.col("payload")).alias("fields"), "cdc_type", "cdc_modified_at"
-    )
+    spelled = envelopes.select(payload_map(F.col("payload")).alias("spelled"), "cdc_type", "cdc_modified_at")
+    with_map = spelled.select(lower_keys(F.col("spelled")).alias("fields"), "cdc_type", "cdc_modified_at")
     return widen(with_map, columns)
 
 
@@ -139,13 +155,15 @@ def land_payload(envelopes: DataFrame) -> DataFrame:
     """Bronze rows of any mix of tables: the payload as a map, in one frame.
 
     One frame for all tables means one write per batch however many tables it
-    holds; columns are taken out of the map when a table is read.
+    holds; columns are taken out of the map when a table is read. Keys land in
+    lower case, once, so that readers need not look through a map for spellings.
     """
     rest = [c for c in envelopes.columns if c not in ("table", "payload")]
     return (
         normalize_table(envelopes)
         .filter(F.col("payload").isNotNull() & (F.col("table") != ""))
-        .select("table", payload_map(F.col("payload")).alias("fields"), *rest)
+        .select("table", payload_map(F.col("payload")).alias("spelled"), *rest)
+        .select("table", lower_keys(F.col("spelled")).alias("fields"), *rest)
     )
 
 
