@@ -16,30 +16,35 @@ ENVELOPE_COLUMNS = ["table", "payload", "cdc_type", "cdc_modified_at"]
 STREAM_SOURCE = "kafka_cdc"
 # ------------------------------------------------------------------------------
 
+# The id that a capture gives a message, in the message and in bronze.
+MESSAGE_ID = "message_id"
+
 _MESSAGE = T.StructType(
     [T.StructField(n, T.StringType()) for n in ["table", "payload", "cdc_type", *CHANGE_TIME_FIELDS]]
 )
 _TEXT_MAP = T.MapType(T.StringType(), T.StringType())
 
 
-def parse_envelopes(messages: DataFrame) -> DataFrame:
-    """Messages to envelope columns; those that name no table are dropped.
+def parse_envelopes(messages: DataFrame, with_id: bool = False) -> DataFrame:
+    """Messages to envelope columns, and the message id if asked for; those that name no table are dropped.
 
     A malformed message parses to NULL fields and so goes the same way. The
     change time is read under any of its three spellings. Other columns of the
     message, such as its source position, stay.
     """
     rest = [c for c in messages.columns if c != "value"]
+    schema, ids = (T.StructType([*_MESSAGE, T.StructField(MESSAGE_ID, T.StringType())]), [MESSAGE_ID]) if with_id else (_MESSAGE, [])
     # Unpacking through a generator keeps the filter above the parse; pushed into
     # the projection, it would parse every message a second time.
     return (
-        messages.select(*rest, F.inline(F.array(F.from_json("value", _MESSAGE))))
+        messages.select(*rest, F.inline(F.array(F.from_json("value", schema))))
         .filter(F.col("table").isNotNull())
         .select(
             "table",
             "payload",
             "cdc_type",
             F.coalesce(*CHANGE_TIME_FIELDS).alias("cdc_modified_at"),
+            *ids,
             *rest,
         )
     )
@@ -151,6 +156,20 @@ def add_audit(
     return df.withColumn("__ingested_at", now).withColumn("__record_source", F.lit(source))
 
 
+def drop_replays(stamped: DataFrame, window: str) -> DataFrame:
+    """Messages of a stream whose id came before, within a time, are left out; messages without an id stay.
+
+    The state holds the ids of the last ``window`` by ingest time, spread by id.
+    """
+    one = F.coalesce(MESSAGE_ID, F.uuid())
+    return (
+        stamped.withColumn("__once", one)
+        .withWatermark("__ingested_at", window)
+        .dropDuplicatesWithinWatermark(["__once"])
+        .drop("__once")
+    )
+
+
 def land_payload(envelopes: DataFrame) -> DataFrame:
     """Bronze rows of any mix of tables: the payload as a map, in one frame.
 

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cdc
-from ..session import keep
+from ..operators.envelope import MESSAGE_ID
 from ..sources.envelopes import publish_envelopes
-from ..sources.storage import read_snapshot, snapshot_version, write_snapshot
+from ..sources.folders import delete
+from ..sources.storage import complete_version, read_snapshot, write_snapshot
+
+OUTBOX = "_outbox"
 
 
 def _marks(watermarks: DataFrame) -> dict[str, dt.datetime]:
@@ -68,6 +72,16 @@ def stored_marks(spark: SparkSession, path: str) -> DataFrame:
     return cdc.load_watermarks(stored)
 
 
+def write_outbox(envelopes: DataFrame, outbox: str, version: int) -> None:
+    """Fix what a run publishes, with ids that no other run or job gives.
+
+    Ids are a run's own prefix and a number that tells its rows apart; reading them
+    from the written outbox, and not making them again, keeps them the same in a repeat.
+    """
+    number = F.monotonically_increasing_id().cast("string")
+    write_snapshot(envelopes.withColumn(MESSAGE_ID, F.concat(F.lit(f"{uuid.uuid4().hex}-"), number)), outbox, version)
+
+
 def capture_job(
     spark: SparkSession,
     tables: dict[str, DataFrame],
@@ -80,16 +94,20 @@ def capture_job(
 ) -> int:
     """Publish all rows past the stored marks, then store the marks; returns the rows published.
 
-    The envelopes are fixed before they are published, and the marks are those of
-    the very rows published: what arrives meanwhile waits for the next run. A run
-    that stops before its marks are stored is repeated, so messages are delivered
-    at least once.
+    The envelopes are fixed in an outbox below the marks before they are published, each
+    with a message id, and the marks are those of the very rows published: what arrives
+    meanwhile waits for the next run. A run that stops before its marks are stored is
+    repeated from its outbox, so messages are delivered at least once, and a repeated
+    message has the id it had before: a stream with a ``replay_window`` lands it once.
     """
-    marks = stored_marks(spark, marks_path)
-    envelopes, _ = capture(tables, ts_columns, marks, skip_full_load)
-    if envelopes is None:
-        return 0
-    fixed = keep(envelopes)
+    version = complete_version(spark, marks_path) + 1
+    outbox = f"{marks_path}/{OUTBOX}"
+    if complete_version(spark, outbox) < version:
+        envelopes, _ = capture(tables, ts_columns, stored_marks(spark, marks_path), skip_full_load)
+        if envelopes is None:
+            return 0
+        write_outbox(envelopes, outbox, version)
+    fixed = read_snapshot(spark, outbox)
     publish_envelopes(fixed, fmt, path, **options)
     seen = fixed.groupBy(F.col("table").alias("table_name")).agg(
         F.max(F.unix_micros(F.col("cdc_ingestion_timestamp").try_cast("timestamp"))).alias("micros"), F.count(F.lit(1)).alias("n"))
@@ -97,6 +115,7 @@ def capture_job(
     moved = spark.createDataFrame(
         [(r["table_name"], r["micros"]) for r in changes], "table_name string, micros bigint"
     ).select("table_name", F.timestamp_micros("micros").alias("watermark"))
-    write_snapshot(
-        cdc.save_watermarks(cdc.advance_watermarks(moved, marks)).coalesce(1), marks_path, snapshot_version(spark, marks_path) + 1)
+    marks = stored_marks(spark, marks_path)
+    write_snapshot(cdc.save_watermarks(cdc.advance_watermarks(moved, marks)).coalesce(1), marks_path, version)
+    delete(spark, outbox)
     return sum(r["n"] for r in changes)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -13,14 +14,14 @@ from ..operators import envelope as EV
 from ..operators import evolve as E
 from ..operators import lineage as LN
 from ..operators import vault as V
-from ..plans.capture import capture_job
+from ..plans.capture import OUTBOX, capture, capture_job, stored_marks, write_outbox
 from ..plans.load import initial_load, load_outcomes, load_vault, start_up_gap
 from ..session import keep, scratch_path
 from ..sources import bronze_schema as BS
 from ..sources import envelopes as ES
 from ..sources import lake as L
 from ..sources import storage as S
-from ..streaming import vault_refresher
+from ..streaming import start_bronze_stream, vault_refresher
 from .common import (
     CHANGE_COLUMNS, T0, T0_SQL, T1, T1_SQL, catalog, columns_of, consumed, lake, query, registry, sql_hash, sql_iso, sql_text, with_models)
 
@@ -52,6 +53,23 @@ def capture_published(spark, sf):
     return EV.parse_payload(parsed, columns_of("orders")).drop("cdc_type", "cdc_modified_at")
 
 
+@query("capture_replayed", f"select {_ORDERS_TEXT} from orders")
+def capture_replayed(spark, sf):
+    """A run stops between publishing and its marks; the next one sends the outbox again, the stream lands each row once."""
+    root = scratch_path(spark, "capture")
+    orders = lake(spark, sf, "orders")
+    marks, topic, bronze = f"{root}/marks", f"{root}/topic", f"{root}/bronze"
+    write_outbox(capture({"orders": orders}, CHANGE_COLUMNS, stored_marks(spark, marks))[0], f"{marks}/{OUTBOX}", 1)
+    ES.publish_envelopes(S.read_snapshot(spark, f"{marks}/{OUTBOX}"), "text", topic)
+    for _ in range(2):  # the repeat, and a run without news
+        capture_job(spark, {"orders": orders}, CHANGE_COLUMNS, marks, "text", topic)
+    stream = start_bronze_stream(
+        ES.envelope_stream(spark, "text", topic), bronze, f"{root}/checkpoint", f"replayed-{uuid.uuid4().hex}", trigger=None,
+        replay_window="1 hour")
+    stream.awaitTermination()
+    return EV.widen(S.read_bronze(spark, bronze, "orders").select("fields"), columns_of("orders"))
+
+
 _SAT = [c for c in columns_of("orders") if not c.endswith("key")]
 
 

@@ -328,6 +328,12 @@ def snapshot_version(spark: SparkSession, path: str) -> int:
     return max((int(n.removeprefix("version=")) for n in names), default=0)
 
 
+def complete_version(spark: SparkSession, path: str) -> int:
+    """The version that ``read_snapshot`` reads; 0 if there is none."""
+    names = [n for n in _children(spark, path) if n.startswith("version=") and path_exists(spark, f"{path}/{n}/_SUCCESS")]
+    return max((int(n.removeprefix("version=")) for n in names), default=0)
+
+
 def append_log(df: DataFrame, path: str) -> None:
     """Append rows to the metadata or lineage log."""
     df.write.mode("append").parquet(path)

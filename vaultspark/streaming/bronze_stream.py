@@ -33,6 +33,7 @@ def start_bronze_stream(
     on_after_write: AfterWrite | None = None,
     allowed_tables: list[str] | None = None,
     source: str = envelope.STREAM_SOURCE,
+    replay_window: str | None = None,
 ) -> StreamingQuery:
     """Start landing a message stream; ``trigger=None`` takes what is there and stops.
 
@@ -41,11 +42,18 @@ def start_bronze_stream(
     gets the same one and replaces its own partitions, which carry an id kept with
     the checkpoint, so that no other stream can replace them. A failing write fails the
     batch; a failing callback is logged.
+
+    With a ``replay_window`` ("2 hours", say) a message that a repeated capture sent
+    again within that time lands once; it costs a shuffle of each batch by message id
+    and the ids of that time as state. What comes later still lands twice, and merges,
+    which compare keys, take it once.
     """
-    parsed = envelope.normalize_table(envelope.parse_envelopes(messages))
+    parsed = envelope.normalize_table(envelope.parse_envelopes(messages, with_id=replay_window is not None))
     if allowed_tables:
         parsed = envelope.allow_tables(parsed, allowed_tables)
     stamped = envelope.add_audit(parsed, source=source)
+    if replay_window is not None:
+        stamped = envelope.drop_replays(stamped, replay_window)
     stream = stream_id(messages.sparkSession, checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
