@@ -122,3 +122,42 @@ def test_edited_passages_of_the_whole_table(spark, sf_dir):
     found = dc.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"),
                                   spark.createDataFrame(items, "item_id long, text string")).collect()
     assert planted and set(planted.items()) <= {(r.doc_id, r.item_id) for r in found}
+
+
+@pytest.mark.parametrize("expansion", [1, 300, 1 << 21])
+def test_lines_of_one_sign_go_in_bounded_blocks(monkeypatch, expansion):
+    rng = random.Random(14)
+    items = [(k, words(rng, 6) + "\n" + "-" * 80 + "\n" + words(rng, 6)) for k in range(12)]
+    index = dc.Index(dc.passages(items))
+    texts = ["-" * 700, words(rng, 20) + "-" * 300 + " " + words(rng, 20)]
+    texts += ["-" * rng.randrange(400) + edited(rng, items[k][1], 0.03) + "-" * rng.randrange(400) for k in range(6)]
+    texts += [words(rng, 5) + "-" * 20 + edited(rng, items[k][1], 0.05) + "=" * 200 + items[k + 1][1].replace("-", "- ") for k in range(4)]
+    monkeypatch.setattr(dc, "EXPANSION", expansion)
+    monkeypatch.setattr(dc, "_MANY", 10)
+    blocks = []
+    bands = dc.Index._bands
+
+    def watched(self, codes, at, first, last):
+        blocks.append((last - first).sum())
+        return bands(self, codes, at, first, last)
+
+    monkeypatch.setattr(dc.Index, "_bands", watched)
+    found = {(k, item) for k, item, *_ in dc.matches(index, texts)}
+    want = set()
+    for k, text in enumerate(texts):
+        codes = dc.plain(text)
+        want |= {(k, p[0]) for p, e in zip(index.passages, index.edits) if distance_at_most(p[2], codes, e)}
+    assert found == want and len(want) >= 10
+    # A block holds no more than asked for, but for what one passage shares with a short stretch.
+    stretch = 4 * (index.longest + 2 * int(index.edits.max() + 1))
+    assert all(n <= expansion + stretch * dc.PASSAGE for n in blocks)
+
+
+def distance_at_most(passage, codes, edits):
+    """``distance(passage, codes) <= edits``, a row at a time."""
+    row = np.zeros(len(codes) + 1, np.int64)
+    steps = np.arange(len(codes) + 1)
+    for a, sign in enumerate(passage, 1):
+        nxt = np.r_[a, np.minimum(row[:-1] + (codes != sign), row[1:] + 1)]
+        row = np.minimum.accumulate(nxt - steps) + steps
+    return row.min() <= edits

@@ -12,7 +12,10 @@ number of edits and the place where the passage ends.
 The table of benchmark q-grams goes to the documents in slices of at most
 ``SLICE_CHARS`` characters, so what is broadcast is bounded and a larger
 benchmark takes more passes. Texts are handled in pieces that overlap by more
-than a passage and its edits, so memory is bounded for texts of any length.
+than a passage and its edits, so memory is bounded for texts of any length. A
+q-gram that many passages share (a line of dashes) meets a text in blocks of at most
+``EXPANSION`` pairs of places, and a run of it only at every step-th place, which
+meets the same bands. Nothing is left out.
 
 Characters are compared in lower case, white space of any kind as a space.
 Passages too short for a positive count allow as many edits as the lemma still
@@ -28,6 +31,7 @@ be of any type that Arrow knows.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +47,10 @@ ERRORS = 0.1
 PASSAGE = 100
 SLICE_CHARS = 2_000_000
 PIECE = 1 << 18
+EXPANSION = 1 << 21
 _TABLE_BITS = 22
+_SIGNS = 64
+_MANY = 1000
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 
@@ -109,10 +116,86 @@ class Index:
         self.bits = np.zeros(1 << _TABLE_BITS, bool)
         self.bits[(self.distinct >> _U(64 - _TABLE_BITS)).astype(np.int64)] = True
         self.longest = int(size.max()) if len(size) else 0
+        # Per q-gram the narrowest half band of its passages.
+        self.stride = np.minimum.reduceat(self.edits[self.owner] + 1, self.first) if len(self.h) else np.empty(0, np.int64)
+        self.signs = np.zeros((len(found), _SIGNS), np.int16)
+        for k, p in enumerate(found):
+            self.signs[k] = np.bincount(p[2] % _SIGNS, minlength=_SIGNS)
         self.short = [k for k, p in enumerate(found) if len(p[2]) < Q]
 
+    def _bands(self, codes: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """The bands that reach the count among some hits and their entries."""
+        n = last - first
+        if not n.sum():
+            return
+        entry = np.repeat(first - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        where = np.repeat(at, n)
+        owner, place = self.owner[entry], self.place[entry]
+        diagonal = where - place + (1 << 20)
+        step = self.edits[owner] + 1
+        band = diagonal // step
+        # Band b covers diagonals of steps b and b + 1: each q-gram counts in two bands.
+        key = np.concatenate([owner * (1 << 40) + band, owner * (1 << 40) + band - 1])
+        gram, where = np.concatenate([place, place]), np.concatenate([where, where])
+        by = np.lexsort((gram, key))
+        key, gram, where = key[by], gram[by], where[by]
+        new = np.r_[True, (key[1:] != key[:-1]) | (gram[1:] != gram[:-1])]  # a q-gram of the passage counts once
+        keys, some, count = np.unique(key[new], return_index=True, return_counts=True)
+        owners = keys >> 40
+        good = count >= self.least[owners]
+        owners, band, at, of = owners[good], (keys & ((1 << 40) - 1))[good], where[new][some][good], gram[new][some][good]
+        if len(owners) > _MANY:
+            lo = band * (self.edits[owners] + 1) - (1 << 20)
+            good = self._signs_suffice(codes, owners, lo, lo + 2 * self.edits[owners] + 1)
+            owners, band, at, of = owners[good], band[good], at[good], of[good]
+        for o, b, x, g in zip(owners, band, at, of):
+            width = int(self.edits[o]) + 1
+            yield int(o), int(b) * width - (1 << 20), (int(b) + 2) * width - 1 - (1 << 20), int(x), int(x - g)
+
+    def _signs_suffice(self, codes: np.ndarray, owners: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Whether a text has, where a band reaches, all signs of its passage but those it may lose; for many bands at once."""
+        lacking, edits = np.zeros(len(owners), np.int64), self.edits[owners]
+        begin = np.clip(lo - edits, 0, len(codes))
+        end = np.clip(hi + edits + np.array([len(p[2]) for p in self.passages])[owners], 0, len(codes))
+        kinds = codes % _SIGNS
+        for kind in range(_SIGNS):
+            before = np.r_[0, np.cumsum(kinds == kind, dtype=np.int32)]
+            lacking += np.maximum(self.signs[owners, kind] - (before[end] - before[begin]), 0)
+        return lacking <= edits
+
+    def _blocks(self, at: np.ndarray, k: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Hits with the entries of their q-grams, ``(at, from, to)``, in blocks of bounded size that miss no band.
+
+        A text is halved with an overlap that holds all hits of a band; a stretch too
+        short for that goes by ranges of passages.
+        """
+        first, last = self.first[k], self.last[k]
+        if (last - first).sum() <= EXPANSION:
+            yield at, first, last
+            return
+        lap = self.longest + 2 * int(self.edits.max() + 1)
+        if at[-1] - at[0] > 4 * lap:
+            middle = (at[0] + at[-1]) // 2
+            for part in (at < middle + lap, at >= middle):
+                yield from self._blocks(at[part], k[part])
+            return
+        grams_here, which, often = np.unique(k, return_inverse=True, return_counts=True)
+        n = self.last[grams_here] - self.first[grams_here]
+        starts = np.r_[0, np.cumsum(n)]
+        entry = np.repeat(self.first[grams_here] - starts[:-1], n) + np.arange(starts[-1])
+        owner, many = self.owner[entry], len(self.passages)
+        weight = np.cumsum(np.bincount(owner, np.repeat(often, n), many))
+        cuts = np.r_[0, np.flatnonzero(np.diff(weight // EXPANSION)) + 1, many]
+        key = np.repeat(np.arange(len(grams_here)), n) * many + owner  # ascending: so are the owners of a q-gram
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            span = [np.searchsorted(key, np.arange(len(grams_here)) * many + x) - starts[:-1] + self.first[grams_here] for x in (lo, hi)]
+            yield at, span[0][which], span[1][which]
+
     def regions(self, codes: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-        """``(passage, first diagonal, last diagonal, place and diagonal of a q-gram)`` of the bands that reach the count."""
+        """``(passage, first diagonal, last diagonal, place and diagonal of a q-gram)`` of the bands that reach the count.
+
+        A band may come more than once.
+        """
         h = grams(codes)
         at = np.flatnonzero(self.bits[(h >> _U(64 - _TABLE_BITS)).astype(np.int64)]) if len(self.distinct) else np.empty(0, np.int64)
         if len(at):
@@ -120,26 +203,12 @@ class Index:
             ok = self.distinct[k] == h[at]
             at, k = at[ok], k[ok]
         if len(at):
-            n = self.last[k] - self.first[k]
-            entry = np.repeat(self.first[k] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-            where = np.repeat(at, n)
-            owner, place = self.owner[entry], self.place[entry]
-            diagonal = where - place + (1 << 20)
-            step = self.edits[owner] + 1
-            band = diagonal // step
-            # Band b covers diagonals of steps b and b + 1: each q-gram counts in two bands.
-            key = np.concatenate([owner * (1 << 40) + band, owner * (1 << 40) + band - 1])
-            gram, where = np.concatenate([place, place]), np.concatenate([where, where])
-            by = np.lexsort((gram, key))
-            key, gram, where = key[by], gram[by], where[by]
-            new = np.r_[True, (key[1:] != key[:-1]) | (gram[1:] != gram[:-1])]  # a q-gram of the passage counts once
-            keys, some, count = np.unique(key[new], return_index=True, return_counts=True)
-            owners = keys >> 40
-            good = count >= self.least[owners]
-            at, of = where[new][some][good], gram[new][some][good]
-            for o, b, x, g in zip(owners[good], (keys & ((1 << 40) - 1))[good], at, of):
-                width = int(self.edits[o]) + 1
-                yield int(o), int(b) * width - (1 << 20), (int(b) + 2) * width - 1 - (1 << 20), int(x), int(x - g)
+            # Of a run of one q-gram (a line of dashes) every step-th place and the last still meet all of its bands.
+            same = (k[1:] == k[:-1]) & (at[1:] == at[:-1] + 1)
+            begins = np.maximum.accumulate(np.where(np.r_[True, ~same], np.arange(len(at)), 0))
+            ok = ((np.arange(len(at)) - begins) % self.stride[k] == 0) | np.r_[~same, True]
+            for some, first, last in self._blocks(at[ok], k[ok]):
+                yield from self._bands(codes, some, first, last)
         for o in self.short:
             p = self.passages[o][2]
             for x in np.flatnonzero(codes[: len(codes) - len(p) + 1] == p[0]) if len(codes) >= len(p) else ():
@@ -189,7 +258,7 @@ def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, object, int,
     """
     lap = 2 * index.longest + 2 * Q
     found: dict[tuple, list] = {}
-    seen: dict[tuple, set] = {}
+    seen: dict[tuple, list] = {}
 
     def search(pieces: list[tuple[int, int, str]]) -> None:
         codes = plain(_WALL.join(p for _, _, p in pieces))
@@ -199,17 +268,23 @@ def matches(index: Index, texts: list[str]) -> Iterator[tuple[int, object, int,
             number, base, piece = pieces[k]
             first = int(ends[k]) - Q - len(piece)
             item, _, passage = index.passages[o]
-            places = seen.setdefault((number, o), set())
-            if any(lo - first + base <= x <= hi - first + base for x in places):
+            places = seen.setdefault((number, o), [])
+            near = bisect_left(places, lo - first + base)
+            if near < len(places) and places[near] <= hi - first + base:
                 continue  # the neighbouring band has shown this place
             own, d = codes[first: first + len(piece)], diagonal - first
             if d >= 0 and np.array_equal(own[d: d + len(passage)], passage):
                 hit = 0, d, d + len(passage)
             else:
-                hit = align(passage, own, lo - first, hi - first, int(index.edits[o]))
+                edits = int(index.edits[o])
+                window = own[max(0, lo - first - edits): max(0, hi - first + edits + len(passage))]
+                lacking = index.signs[o] - np.bincount(window % _SIGNS, minlength=_SIGNS)
+                if lacking[lacking > 0].sum() > edits:
+                    continue  # more signs of the passage are missing than it may lose
+                hit = align(passage, own, lo - first, hi - first, edits)
             if hit is None:
                 continue
-            places.add(base + hit[1])
+            insort(places, base + hit[1])
             one = found.setdefault((number, item), [base + hit[1], base + hit[2], hit[0], set()])
             one[0], one[1], one[2] = min(one[0], base + hit[1]), max(one[1], base + hit[2]), min(one[2], hit[0])
             one[3].add(o)
