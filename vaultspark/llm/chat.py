@@ -5,7 +5,9 @@ turn gets a hash of its place, role and text; the hash of a prefix is the XOR of
 its turns' hashes (128 bits), so it can be rolled along a conversation and summed
 up map-side. A conversation whose whole hash is a proper prefix of another one is
 dropped by an anti-join; of equal conversations that with the smallest id stays.
-What remains is rendered, role by role, between turn marks.
+What remains is rendered, role by role, between turn marks. Texts are shuffled when
+turns get their places and hashes, which are kept as files, and when the conversations
+that remain are put together; all between moves hashes only.
 
 No conversation is gathered into one task: places and prefix hashes are found in
 blocks of ``BLOCK`` turns, whose counts and hashes are rolled up before, and the
@@ -23,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import keep
 from .common import query, read_columns
 
 BLOCK = 256
@@ -30,42 +33,46 @@ PART = 256
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
-def placed_turns(turns: DataFrame) -> DataFrame:
-    """``conv_id, k, role, text, p1, p2, last``: place from 1, prefix hash, and whether nothing follows."""
+_KEY = ["conv", "none"]  # the id as text, and whether there is none: keys without nulls, so that one shuffle serves all steps
+
+
+def numbered_turns(turns: DataFrame) -> DataFrame:
+    """``conv_id, conv, none, block, k, role, text, h1, h2, last``: place from 1, hashes of a turn, whether nothing follows."""
     rows = turns.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
-    ).distinct().withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit((1 << 63) - 1)))
-    counts = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n"))
-    along = Window.partitionBy("conv_id").orderBy("block")
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    ).distinct().select(
+        "*", F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"), F.col("conv_id").isNull().alias("none"),
+        F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit((1 << 63) - 1)).alias("block"))
+    counts = rows.groupBy(*_KEY, "block").agg(F.count("*").alias("n"))
+    along = Window.partitionBy(*_KEY).orderBy("block")
     starts = counts.select(
-        F.col("conv_id").alias("c"), F.col("block").alias("b"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"),
+        *_KEY, "block", F.coalesce(F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"),
         F.lead("block").over(along).isNull().alias("last_block"))
-    inside = Window.partitionBy("conv_id", "block").orderBy(F.asc_nulls_last("turn"), "role", "text")
-    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))
-    k = F.col("start") + F.row_number().over(inside)
-    numbered = rows.join(starts, same).select(
-        "conv_id", "block", "role", "text", k.alias("k"),
-        (F.col("last_block") & F.lead("role").over(inside).isNull()).alias("last"))
-    hashed = numbered.select(
-        "*", F.xxhash64("k", "role", "text").alias("h1"), F.xxhash64(F.lit("second"), "text", "role", "k").alias("h2"))
-    sums = hashed.groupBy("conv_id", "block").agg(F.bit_xor("h1").alias("s1"), F.bit_xor("h2").alias("s2"))
-    carried = sums.select(
-        F.col("conv_id").alias("c"), F.col("block").alias("b"),
-        *(F.coalesce(F.bit_xor(s).over(before), F.lit(0)).alias(s) for s in ("s1", "s2")))
-    rolling = Window.partitionBy("conv_id", "block").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    return hashed.join(carried, same).select(
-        "conv_id", "k", "role", "text", "last",
+    inside = Window.partitionBy(*_KEY, "block").orderBy(F.asc_nulls_last("turn"), "role", "text")
+    return rows.join(starts, [*_KEY, "block"]).select(
+        "conv_id", *_KEY, "block", "role", "text", (F.col("start") + F.row_number().over(inside)).alias("k"),
+        (F.col("last_block") & F.lead("role").over(inside).isNull()).alias("last"),
+    ).select("*", F.xxhash64("k", "role", "text").alias("h1"), F.xxhash64(F.lit("second"), "text", "role", "k").alias("h2"))
+
+
+def prefix_hashes(numbered: DataFrame) -> DataFrame:
+    """``conv_id, conv, none, k, last, p1, p2``: the hash of each prefix, from hashes of turns alone."""
+    hashed = numbered.select("conv_id", *_KEY, "block", "k", "last", "h1", "h2")
+    sums = hashed.groupBy(*_KEY, "block").agg(F.bit_xor("h1").alias("s1"), F.bit_xor("h2").alias("s2"))
+    before = Window.partitionBy(*_KEY).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(*_KEY, "block", *(F.coalesce(F.bit_xor(s).over(before), F.lit(0)).alias(s) for s in ("s1", "s2")))
+    rolling = Window.partitionBy(*_KEY, "block").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    return hashed.join(carried, [*_KEY, "block"]).select(
+        "conv_id", *_KEY, "k", "last",
         F.col("s1").bitwiseXOR(F.bit_xor("h1").over(rolling)).alias("p1"),
         F.col("s2").bitwiseXOR(F.bit_xor("h2").over(rolling)).alias("p2"))
 
 
-def maximal_conversations(placed: DataFrame) -> DataFrame:
-    """Ids of conversations that no longer one begins with, one of each set of equals."""
-    whole = placed.where("last").groupBy("k", "p1", "p2").agg(F.min("conv_id").alias("conv_id"))
-    prefixes = placed.where("not last").select("k", "p1", "p2").distinct()
-    return whole.join(prefixes, ["k", "p1", "p2"], "left_anti").select("conv_id")
+def maximal_conversations(prefixes: DataFrame) -> DataFrame:
+    """``conv, none`` of conversations that no longer one begins with, one of each set of equals."""
+    whole = prefixes.where("last").groupBy("k", "p1", "p2").agg(F.min(F.struct("none", "conv_id", "conv")).alias("least"))
+    proper = prefixes.where("not last").select("k", "p1", "p2").distinct()
+    return whole.join(proper, ["k", "p1", "p2"], "left_anti").select("least.conv", "least.none")
 
 
 def rendered(role: Column, text: Column) -> Column:
@@ -77,9 +84,9 @@ def rendered(role: Column, text: Column) -> Column:
 
 def format_chats(turns: DataFrame) -> DataFrame:
     """``conv_id, part, n_turns, text``: the rendered parts of the maximal conversations."""
-    placed = placed_turns(turns)
-    keep = maximal_conversations(placed).withColumnRenamed("conv_id", "c")
-    rows = placed.join(keep, F.col("conv_id").eqNullSafe(F.col("c")), "left_semi").select(
+    numbered = keep(numbered_turns(turns))  # the texts are placed once; what follows reads hashes, the last step texts
+    maximal = maximal_conversations(keep(prefix_hashes(numbered)))
+    rows = numbered.join(maximal, _KEY, "left_semi").select(
         "conv_id", F.floor((F.col("k") - 1) / PART).alias("part"), "k", rendered(F.col("role"), F.col("text")).alias("turn"))
     return rows.groupBy("conv_id", "part").agg(
         F.count("*").alias("n_turns"), F.array_sort(F.collect_list(F.struct("k", "turn"))).alias("turns"),
