@@ -42,6 +42,16 @@ def test_keys_of_all_payloads(spark):
     assert [tuple(r) for r in EV.payload_keys_from_history(df, known).collect()] == [("u", 0, "x")]
 
 
+def test_known_names_come_to_the_history(spark):
+    rows = [("Big", '{"a":1}', None, None)] * 50 + [("known", '{"b":1}', None, None), (None, '{"c":1}', None, None)]
+    history = spark.createDataFrame(rows, ENVELOPE)
+    known = spark.createDataFrame([("known",), ("known",), (None,)], "table string")
+    out = EV.payload_keys_from_history(history, known)
+    assert sorted(map(tuple, out.collect()), key=str) == [("big", 0, "a"), (None, 0, "c")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # else a table's messages meet in one task
+
+
 def test_widen_any_spelling(spark):
     payload = '{"a":"1","B":2,"c":"low","C":"up","D":null,"n":{"k":[1]}}'
     df = spark.createDataFrame([("t", payload, "insert", "m")], ENVELOPE)

@@ -95,9 +95,14 @@ def payload_keys(envelopes: DataFrame) -> DataFrame:
 
 
 def payload_keys_from_history(history: DataFrame, known: DataFrame) -> DataFrame:
-    """Payload keys of the tables that ``known`` (column ``table``) does not cover."""
+    """Payload keys of the tables that ``known`` (column ``table``) does not cover.
+
+    The names, one per table of the lake, are sent to the history. Shuffled by
+    name, all messages of a table would meet in one task.
+    """
     fresh = history.withColumn("table", F.lower("table"))
-    return payload_keys(fresh.join(known.select("table").distinct(), "table", "left_anti"))
+    names = F.broadcast(known.select("table").distinct())
+    return payload_keys(fresh.join(names, "table", "left_anti"))
 
 
 def payload_map(payload: Column) -> Column:
