@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+from vaultspark.operators import cdc
 from vaultspark.operators import envelope as EV
 from vaultspark.sources.envelopes import as_messages
 from vaultspark.sources.lake import bronze_schema
@@ -80,6 +81,25 @@ def test_keys_land_in_lower_case(spark):
     assert plan.count("from_json") == 1 and plan.count("map_entries") <= 1  # no look through the map per column
 
 
+def test_spellings_beyond_ascii_land_in_lower_case(spark):
+    payloads = ['{"ς":"1","é":"2"}', '{"a":"1","É":"2"}', '{"ΑΣ":"1"}', '{"ε":"0","Σ":"1","σ":"2"}', '{"İ":"1"}', '{"":"1","K":"2"}']
+    df = spark.createDataFrame([("t", p, "i", str(n)) for n, p in enumerate(payloads)], ENVELOPE)
+    low = {r[0]: r[1] for r in spark.sql("select k, lower(k) from values ('É'), ('ΑΣ'), ('İ'), ('K') t(k)").collect()}
+    got = {int(r.cdc_modified_at): r.fields for r in EV.land_payload(df).collect()}
+    assert got[0] == {"ς": "1", "é": "2"} and got[1] == {"a": "1", low["É"]: "2"}
+    assert got[2] == {low["ΑΣ"]: "1"} and got[3] == {"ε": "0", "σ": "2"}
+    assert got[4] == {low["İ"]: "1"} and got[5] == {"": "1", low["K"]: "2"}
+
+
+def test_landing_makes_each_payload_once(spark):
+    rows = spark.createDataFrame([(1, 2.5, dt.datetime(2024, 1, 2)), (2, None, None)], "k long, x double, ts timestamp_ntz")
+    sent = cdc.cdc_full(rows, "t", "ts").withColumnRenamed("cdc_ingestion_timestamp", "cdc_modified_at")
+    out = EV.land_payload(EV.add_audit(sent, dt.datetime(2024, 5, 6)))
+    assert [r.fields for r in out.collect()] == [{"k": "1", "x": "2.5", "ts": "2024-01-02T00:00:00+00:00"}]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJson") == 1 and "forall" not in plan
+
+
 def test_route_and_allow(spark):
     df = spark.createDataFrame([("t", '{"a":"1"}', "i", None), ("T", '{"a":"2"}', "i", None), (None, "{}", "i", None)], ENVELOPE)
     assert [tuple(r) for r in EV.route_one(df, "t", bronze_schema(["a"])).collect()] == [("1",)]

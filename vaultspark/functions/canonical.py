@@ -104,7 +104,7 @@ def canonical_text(c: Column, data_type: T.DataType) -> Column:
 def iso_utc(c: Column, data_type: T.DataType) -> Column:
     """ISO-8601 with offset for the change column; other types as canonical text."""
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.concat(F.translate(_timestamp_text(c, data_type), " ", "T"), F.lit("+00:00"))
+        return F.concat(F.replace(_timestamp_text(c, data_type), F.lit(" "), F.lit("T")), F.lit("+00:00"))
     return canonical_text(c, data_type)
 
 

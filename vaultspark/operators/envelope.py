@@ -124,11 +124,13 @@ def lower_keys(fields: Column) -> Column:
     they are; only those with such spellings are put together key by key.
     """
     keys = F.map_keys(fields)
+    # One text of all keys: a call per key costs much more on every row.
+    spelled = F.array_join(keys, "")
     low = F.transform(keys, lambda k: F.lower(k))
     merged = F.map_from_entries(
         F.transform(F.array_distinct(low), lambda k: F.struct(k.alias("key"), map_value(fields, k).alias("value"))))
     return (
-        F.when(fields.isNull() | F.forall(keys, lambda k: k == F.lower(k)), fields)
+        F.when(fields.isNull() | (spelled == F.lower(spelled)), fields)
         .when(F.size(F.array_distinct(low)) == F.size(low), F.transform_keys(fields, lambda k, _: F.lower(k)))
         .otherwise(merged)
     )
@@ -175,6 +177,25 @@ def drop_replays(stamped: DataFrame, window: str) -> DataFrame:
     )
 
 
+def landing_rows(envelopes: DataFrame) -> DataFrame:
+    """Envelopes that land: those with a table and a payload, which is text still."""
+    rest = [c for c in envelopes.columns if c not in ("table", "payload")]
+    # Unpacking through a generator keeps the filter above the payload; pushed below
+    # the projection that makes it, it would make every payload a second time.
+    return (
+        normalize_table(envelopes)
+        .select("table", F.explode(F.array("payload")).alias("payload"), *rest)
+        .filter(F.col("payload").isNotNull() & (F.col("table") != ""))
+    )
+
+
+def landed_fields(rows: DataFrame) -> DataFrame:
+    """``landing_rows`` with their payload as a map, ``fields``, whose keys are lower-case."""
+    rest = [c for c in rows.columns if c not in ("table", "payload")]
+    return rows.select("table", payload_map(F.col("payload")).alias("spelled"), *rest).select(
+        "table", lower_keys(F.col("spelled")).alias("fields"), *rest)
+
+
 def land_payload(envelopes: DataFrame) -> DataFrame:
     """Bronze rows of any mix of tables: the payload as a map, in one frame.
 
@@ -182,13 +203,7 @@ def land_payload(envelopes: DataFrame) -> DataFrame:
     holds; columns are taken out of the map when a table is read. Keys land in
     lower case, once, so that readers need not look through a map for spellings.
     """
-    rest = [c for c in envelopes.columns if c not in ("table", "payload")]
-    return (
-        normalize_table(envelopes)
-        .filter(F.col("payload").isNotNull() & (F.col("table") != ""))
-        .select("table", payload_map(F.col("payload")).alias("spelled"), *rest)
-        .select("table", lower_keys(F.col("spelled")).alias("fields"), *rest)
-    )
+    return landed_fields(landing_rows(envelopes))
 
 
 def missing_required(df: DataFrame, required: list[str] | None = None) -> list[str]:

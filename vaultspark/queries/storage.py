@@ -161,7 +161,7 @@ select 'orders', count(*), count(o_orderdate) from orders""",
 def bronze_tables_landed(spark, sf):
     """Three tables land in one write, each in its own partition; one of them is truncated."""
     root = scratch_path(spark, "bronze")
-    S.write_bronze(EV.land_payload(EV.add_audit(consumed(spark, sf), T0)), root, 0, "s")
+    S.land_bronze(EV.add_audit(consumed(spark, sf), T0), root, 0, "s")
     S.truncate_bronze(spark, root, "EVENTS")
     wide = EV.widen(S.read_bronze(spark, root).select("table", "fields"), ["l_shipdate", "o_orderdate"])
     return wide.groupBy(F.col("table").alias("table_name")).agg(
@@ -232,7 +232,7 @@ def bronze_schema_log(spark, sf):
     BS.match_lake(spark, root, early)
     for batch, rows in enumerate((orders.filter("o_orderkey % 2 = 0").drop("o_orderpriority"), orders.filter("o_orderkey % 2 = 1"))):
         sent = cdc.cdc_full(rows, "orders", CHANGE_COLUMNS["orders"]).withColumnRenamed("cdc_ingestion_timestamp", "cdc_modified_at")
-        S.write_bronze(EV.land_payload(EV.add_audit(sent, T0)), root, batch, "s")
+        S.land_bronze(EV.add_audit(sent, T0), root, batch, "s")
         BS.match_lake(spark, root, everything.filter("table_name = 'orders'"))
     for _ in range(2):
         BS.adopt_table(lake(spark, sf, "pages"), root, "pages", T1, "adopted")

@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.canonical import utc_literal, utc_wall_time
+from ..operators.envelope import landed_fields, landing_rows
 from .envelopes import POSITION
 from .folders import children as _children, delete as _delete, fs_of as _fs, path_exists
 from .vault_tables import read_table
 
 BRONZE_PARTITIONS = ["table", "ingest_date", "stream", "batch"]
 NO_STREAM = "direct"
+TABLE_PARTS = 8  # in how many parts a table of a batch is dealt out; AQE joins small ones
 
 
 # --- bronze -------------------------------------------------------------------
@@ -51,6 +53,22 @@ def write_bronze(landed: DataFrame, root: str, batch: int, stream: str = NO_STRE
     The rebalance hint lets AQE merge small tables into few files and cut a
     table that dominates the batch into several tasks.
     """
+    _write_batch(landed.hint("rebalance", "table"), root, batch, stream)
+
+
+def land_bronze(envelopes: DataFrame, root: str, batch: int, stream: str = NO_STREAM) -> None:
+    """Land one batch of envelopes, as ``write_bronze`` lands their ``land_payload``.
+
+    Rows are dealt out before payloads become maps, and a table in parts: AQE cuts a
+    table between the tasks it comes from, not within one, so that a large input
+    split would again be one large task.
+    """
+    part = F.pmod(F.xxhash64("payload"), F.lit(TABLE_PARTS))
+    rows = landing_rows(envelopes).withColumn("__part", part).hint("rebalance", "table", "__part")
+    _write_batch(landed_fields(rows.drop("__part")), root, batch, stream)
+
+
+def _write_batch(landed: DataFrame, root: str, batch: int, stream: str) -> None:
     day = F.to_date(utc_wall_time(F.col("__ingested_at"), landed.schema["__ingested_at"].dataType))
     spark = landed.sparkSession
     fs, mark = _fs(spark, f"{root}/_streams/{stream}")
@@ -59,7 +77,6 @@ def write_bronze(landed: DataFrame, root: str, batch: int, stream: str = NO_STRE
         landed.withColumn("ingest_date", day)
         .withColumn("stream", F.lit(f"s-{stream}"))
         .withColumn("batch", F.lit(int(batch)))
-        .hint("rebalance", "table")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*BRONZE_PARTITIONS)

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import envelope, lineage
 from ..plans.load import LOAD_THREADS, load_one
-from ..sources.storage import Batch, bronze_batches, read_batches, stream_id, write_bronze
+from ..sources.storage import Batch, bronze_batches, land_bronze, read_batches, stream_id
 from .ledger import BatchLedger
 
 log = logging.getLogger(__name__)
@@ -63,7 +63,7 @@ def start_bronze_stream(
             return
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_bronze(envelope.land_payload(rows), root, batch_id, stream)
+            land_bronze(rows, root, batch_id, stream)
             if on_after_write is None:
                 return
             touched = {r["table"]: r["n_rows"] for r in envelope.touched_tables(rows).collect()}
