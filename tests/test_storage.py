@@ -39,8 +39,8 @@ def test_envelopes_land_as_their_payloads_do(spark, tmp_path):
     rows = [("A", '{"X":"1"}'), ("a", '{"x":"2","y":"3"}'), ("b", "broken"), ("b", None), ("", '{"x":"4"}'), (None, '{"x":"5"}'), ("c", '{"Z":"6"}')]
     sent = EV.add_audit(spark.createDataFrame(
         [(t, p, "insert", None) for t, p in rows], "table string, payload string, cdc_type string, cdc_modified_at string"), DAY)
-    for batch in (1, 1, 2):
-        S.land_bronze(sent, str(tmp_path / "text"), batch, "s")
+    for batch, parts in ((1, 8), (1, 8), (2, 1)):
+        S.land_bronze(sent, str(tmp_path / "text"), batch, "s", parts)
         S.write_bronze(EV.land_payload(sent), str(tmp_path / "maps"), batch, "s")
     text, maps = (S.read_bronze(spark, str(tmp_path / name)) for name in ("text", "maps"))
     assert text.schema == maps.schema

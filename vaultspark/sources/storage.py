@@ -29,7 +29,7 @@ from .vault_tables import read_table
 
 BRONZE_PARTITIONS = ["table", "ingest_date", "stream", "batch"]
 NO_STREAM = "direct"
-TABLE_PARTS = 8  # in how many parts a table of a batch is dealt out; AQE joins small ones
+TABLE_PARTS = 8  # in how many parts a table of a large batch is dealt out; AQE joins small ones
 
 
 # --- bronze -------------------------------------------------------------------
@@ -56,14 +56,17 @@ def write_bronze(landed: DataFrame, root: str, batch: int, stream: str = NO_STRE
     _write_batch(landed.hint("rebalance", "table"), root, batch, stream)
 
 
-def land_bronze(envelopes: DataFrame, root: str, batch: int, stream: str = NO_STREAM) -> None:
+def land_bronze(
+    envelopes: DataFrame, root: str, batch: int, stream: str = NO_STREAM, parts: int = TABLE_PARTS
+) -> None:
     """Land one batch of envelopes, as ``write_bronze`` lands their ``land_payload``.
 
     Rows are dealt out before payloads become maps, and a table in parts: AQE cuts a
     table between the tasks it comes from, not within one, so that a large input
-    split would again be one large task.
+    split would again be one large task. Fewer parts give fewer files; small batches
+    need but one.
     """
-    part = F.pmod(F.xxhash64("payload"), F.lit(TABLE_PARTS))
+    part = F.pmod(F.xxhash64("payload"), F.lit(parts))
     rows = landing_rows(envelopes).withColumn("__part", part).hint("rebalance", "table", "__part")
     _write_batch(landed_fields(rows.drop("__part")), root, batch, stream)
 
